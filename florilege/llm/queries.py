@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege.llm.packing import pack_items
+from florilege.llm.spans import repeated_units, shared_spans
 from florilege.llm.tokens import encode, vocabulary
 from florilege.session import table
 
@@ -22,5 +23,13 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_items(sizes, "doc_id", "n_tokens", [(r[0], r[1]) for r in caps.limit(1000).collect()])
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_containers)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_spans(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_units(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p8_ids, p9_containers, p10_found, p10_lines)}
 SQL: dict[str, str] = {}
