@@ -3,20 +3,49 @@
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` below ``sf_dir``."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def put_file(spark: SparkSession, uri: str, data: bytes) -> None:
+    """Writes ``data`` through Spark's file system layer."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
+    out.write(data)
+    out.close()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once an application, so that workers can import it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = Path(__file__).parent
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    uri = f"{shared_path(spark, 'code')}/florilege.zip"
+    put_file(spark, uri, buffer.getvalue())
+    spark.sparkContext.addPyFile(uri)
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``. Only where that is unset (tests, a
     single machine) a temporary folder is made and set for the session."""
