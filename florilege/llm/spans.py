@@ -142,18 +142,15 @@ def _contexts(hits: DataFrame, docs: DataFrame, least: int, size: int) -> DataFr
 def _windows_of(contexts: list[str], lefts: np.ndarray, least: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Member, distance of the window's start from the anchor (0 to -reach, given as its negative) and digest of all
     windows that hold the anchor."""
-    codes = [_codes(c) for c in contexts]
-    who, dist, hashes = [], [], []
-    for i, c in enumerate(codes):
-        h = window_hashes(c, least)
-        start = np.arange(len(h))
-        keep = start <= lefts[i]
-        who.append(np.full(int(keep.sum()), i, np.int64))
-        dist.append(lefts[i] - start[keep])
-        hashes.append(h[keep])
-    if not who:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(who), np.concatenate(dist), np.concatenate(hashes)
+    lens = np.fromiter(map(len, contexts), np.int64, len(contexts))
+    starts = np.cumsum(lens) - lens
+    # one pass over all contexts end to end; windows that reach into the next context aren't taken
+    h = window_hashes(_codes("".join(contexts)), least)
+    take = np.clip(np.minimum(lens - least, lefts) + 1, 0, None)
+    who = np.repeat(np.arange(len(contexts)), take)
+    ends = np.cumsum(take)
+    start = np.arange(len(who)) - np.repeat(ends - take, take)
+    return who, lefts[who] - start, h[starts[who] + start]
 
 
 def _spans_of(pos: list[list[int]], who: np.ndarray, dist: np.ndarray, least: int) -> tuple[list[int], list[int], list[int]]:
@@ -176,26 +173,57 @@ def _spans_of(pos: list[list[int]], who: np.ndarray, dist: np.ndarray, least: in
 _SPAN = "doc bigint, s int, e int"
 
 
-def _compare_groups(members: DataFrame, least: int, size: int) -> DataFrame:
-    """Shared windows within whole anchor groups of bounded size."""
+def _compare_groups(members: DataFrame, least: int, size: int, rows: int = 4_000) -> DataFrame:
+    """Shared windows within whole anchor groups of bounded size; tasks take them group after group, many at a time."""
     reach = least - size
 
-    def run(_key: tuple, batches: pa.Table) -> pa.Table:
-        doc, pos, left, context = (batches.column(n).to_pylist() for n in ("doc", "pos", "left", "context"))
-        who, dist, h = _windows_of(context, np.array(left, np.int64), least, reach)
-        docs = np.array(doc, np.int64)
-        order = np.lexsort((docs[who], h, dist))
-        w, d, hh = who[order], dist[order], h[order]
-        new = np.concatenate(([True], (np.diff(d) != 0) | (hh[1:] != hh[:-1]))) if len(w) else np.zeros(0, bool)
-        group = np.cumsum(new) - 1
-        starts = np.flatnonzero(new)
-        ends = np.concatenate((starts[1:], [len(w)])).astype(np.int64) - 1 if len(w) else starts
-        many = docs[w[starts]] != docs[w[ends]] if len(w) else np.zeros(0, bool)
-        keep = many[group] if len(w) else np.zeros(0, bool)
-        m, s, e = _spans_of(pos, w[keep], d[keep], least)
-        return pa.table({"doc": pa.array([doc[i] for i in m], pa.int64()), "s": pa.array(s, pa.int32()), "e": pa.array(e, pa.int32())})
-
-    return members.groupBy("h").applyInArrow(run, _SPAN)
+    def compare(h: np.ndarray, doc: np.ndarray, pos: list, left: np.ndarray, context: list[str]) -> pa.RecordBatch:
+        who, dist, win = _windows_of(context, left, least, reach)
+        order = np.lexsort((doc[who], win, dist, h[who]))
+        w, d, x = who[order], dist[order], win[order]
+        if len(w):
+            new = np.concatenate(([True], (h[w[1:]] != h[w[:-1]]) | (np.diff(d) != 0) | (x[1:] != x[:-1])))
+            first = np.flatnonzero(new)
+            last = np.concatenate((first[1:], [len(w)])) - 1
+            several = (doc[w[first]] != doc[w[last]])[np.cumsum(new) - 1]
+            w, d = w[several], d[several]
+        m, s, e = _spans_of(pos, w, d, least)
+        return pa.RecordBatch.from_arrays([pa.array(doc[np.array(m, np.int64)], pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())], ["doc", "s", "e"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def done(t: pa.Table) -> pa.RecordBatch:
+            h, doc, left = (t.column(n).to_numpy() for n in ("h", "doc", "left"))
+            return compare(h, doc, t.column("pos").to_pylist(), left.astype(np.int64), t.column("context").to_pylist())
+
+        for b in batches:
+            held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            if held.num_rows < rows:
+                continue
+            h = held.column("h").to_numpy()
+            cut = int(np.searchsorted(h, h[-1]))  # the last group may go on in the next batch
+            for a, z in _group_portions(h[:cut], rows):
+                yield done(held.slice(a, z - a))
+            held = held.slice(cut).combine_chunks()
+        if held is not None and held.num_rows:
+            for a, z in _group_portions(held.column("h").to_numpy(), rows):
+                yield done(held.slice(a, z - a))
+
+    return members.repartition("h").sortWithinPartitions("h").select("h", "doc", "pos", "left", "context").mapInArrow(run, _SPAN)
+
+
+def _group_portions(h: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
+    """Cuts sorted keys between groups into portions of about ``rows``."""
+    start = 0
+    while start < len(h):
+        end = start + rows
+        if end < len(h):
+            low = int(np.searchsorted(h, h[end]))
+            end = low if low > start else int(np.searchsorted(h, h[end], "right"))
+        end = min(end, len(h))
+        yield start, end
+        start = end
 
 
 def _compare_hot(members: DataFrame, least: int, size: int) -> DataFrame:

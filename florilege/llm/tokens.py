@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege.llm.lexicon import Lexicon, build, load_ranks, merge, pack
-from florilege.session import shared_path
+from florilege.session import put_file, shared_path
 
 #: Fixed value: how a text is cut into pieces before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,12 +69,8 @@ def word_counts(df: DataFrame, text_col: str, max_bytes: int) -> DataFrame:
 def _store(spark: SparkSession, data: bytes) -> str:
     """Puts ``data`` into the shared folder and has it sent to every executor; gives the file's name."""
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    jvm = spark.sparkContext._jvm
     uri = f"{shared_path(spark, 'lexicon')}/{name}"
-    at = jvm.org.apache.hadoop.fs.Path(uri)
-    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at)
-    out.write(data)
-    out.close()
+    put_file(spark, uri, data)
     spark.sparkContext.addFile(uri)
     return name
 
