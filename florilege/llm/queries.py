@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from florilege.llm.names import linked_names
 from florilege.llm.neardup import similar_pairs
 from florilege.llm.packing import pack_items
 from florilege.llm.spans import repeated_units, shared_spans
@@ -16,6 +17,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_pairs(table(spark, sf_dir, "quotes"), "quote_no", "text")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_names(table(spark, sf_dir, "agents"), "agent_id", {"name": "kind in ('person', 'unknown')", "played_by": None})
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary())
 
@@ -36,5 +41,5 @@ def p10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_units(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p8_ids, p9_containers, p10_found, p10_lines)}
+QUERIES = {f.__name__: f for f in (p6_found, p7_found, p8_ids, p9_containers, p10_found, p10_lines)}
 SQL: dict[str, str] = {}
