@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from florilege.llm.canon import map_values
 from florilege.llm.names import linked_names
 from florilege.llm.neardup import similar_pairs
 from florilege.llm.packing import pack_items
@@ -13,6 +14,11 @@ from florilege.llm.tokens import encode, vocabulary
 from florilege.session import table
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["work_title", "publisher", "occasion"]
+    return map_values(table(spark, sf_dir, "sources"), "source_id", fields, table(spark, sf_dir, "canon_items"), leading=("occasion",), places=("publisher",))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_pairs(table(spark, sf_dir, "quotes"), "quote_no", "text")
 
@@ -41,5 +47,5 @@ def p10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_units(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p7_found, p8_ids, p9_containers, p10_found, p10_lines)}
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p7_found, p8_ids, p9_containers, p10_found, p10_lines)}
 SQL: dict[str, str] = {}
