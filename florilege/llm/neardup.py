@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florilege.functions.text import collapse_ws
-from florilege.session import salted_join, written
+from florilege.session import most_frequent, salted_join, written
 
 
 def words_of(text: Column) -> Column:
@@ -92,7 +92,7 @@ def similar_pairs(df: DataFrame, id_col: str, text_col: str, words: int = 3, lea
     sets = _with_shingles(texts.select("tid", "t"), "t", words, "set").select("tid", "set")
 
     counts = sets.select(F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
-    top = [r[0] for r in counts.orderBy(F.desc("n"), "s").limit(common).select("s").collect()]
+    top = most_frequent(written(counts, "shingles"), "s", common)
     prefixed = _prefixes(sets, np.array(top[::-1], np.int64), num, den)
     prefixed = written(prefixed.withColumn("g", F.md5(F.concat_ws(",", F.transform("prefix", lambda x: x.cast("string"))))), "prefixes")
 

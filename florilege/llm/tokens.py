@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege.llm.lexicon import Lexicon, build, load_ranks, merge, pack
-from florilege.session import put_file, shared_path
+from florilege.session import most_frequent, put_file, shared_path, written
 
 #: Fixed value: how a text is cut into pieces before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -78,9 +78,9 @@ def _store(spark: SparkSession, data: bytes) -> str:
 def make_lexicon(df: DataFrame, text_col: str, vocab_path: str, max_words: int = 40_000, max_bytes: int = 48) -> str:
     """Compiles the ``max_words`` most frequent pieces of the corpus (at most ``max_bytes`` bytes each; both bound what
     the driver gets, neither changes a result) into a transducer file on every executor."""
-    top = word_counts(df, text_col, max_bytes).where("n > 1").orderBy(F.desc("n"), "piece").limit(max_words)
+    counts = written(word_counts(df, text_col, max_bytes).where("n > 1"), "words")
     ranks = load_ranks(vocab_path)
-    words = sorted(w for r in top.select("piece").collect() if 0 < len(w := r[0].encode()) <= max_bytes)
+    words = sorted(w for p in most_frequent(counts, "piece", max_words) if 0 < len(w := p.encode()) <= max_bytes)
     return _store(df.sparkSession, pack(build(words, [merge(w, ranks) for w in words])))
 
 
