@@ -24,12 +24,16 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _with_shingles(df: DataFrame, text: str, words: int, out: str) -> DataFrame:
-    """Adds the set of 64-bit shingle digests of the lower-cased ``text``."""
-    w = df.withColumn("_w", words_of(F.col(text)))
-    last = F.size("_w") - words
-    hashed = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(F.col("_w"), i + k) for k in range(words)]))
-    return w.withColumn(out, F.when(last >= 0, F.array_distinct(hashed)).otherwise(F.array().cast("array<bigint>"))).drop("_w")
+def shingles(text: Column, words: int) -> Column:
+    """The set of 64-bit digests of the text's runs of ``words`` words."""
+
+    def of(w: Column) -> Column:
+        last = F.size(w) - words
+        runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(words)]))
+        return F.when(last >= 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+
+    # the words are bound to a lambda's variable: found once, and not once a shingle
+    return F.get(F.transform(F.array(words_of(text)), of), 0)
 
 
 def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFrame:
@@ -60,21 +64,32 @@ def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFr
     return sets.select("tid", "set").mapInArrow(run, "tid bigint, size int, prefix array<bigint>")
 
 
-def _blocked_pairs(rows: DataFrame, key: str, ident: str, keep: Column, block: int) -> DataFrame:
-    """(a.*, b.*) of rows ``a`` and ``b`` that share ``key``, with ``keep`` on the pair and a's ident below b's.
+def _pairs(rows: DataFrame, key: str, ident: str, keep: Column, hot: DataFrame, block: int) -> DataFrame:
+    """(a, b) of rows that share ``key``, with ``keep`` on the pair and a's ident below b's.
 
-    A key with more than ``block`` rows is cut into blocks (by a hash of ident) and every pair of blocks is a join key
-    of its own, so that no task gets a whole hot key.
+    ``hot`` (key, m) has at least all keys of more than ``block`` rows. Their rows are cut into blocks by a hash of ident, and each pair of
+    blocks is a join key of its own, so that no task gets a whole hot key.
     """
-    counts = rows.groupBy(key).agg(F.count("*").alias("_m")).where("_m > 1")
-    counts = counts.select(key, F.ceil(F.col("_m") / block).cast("int").alias("_blocks"))
-    cut = salted_join(rows, counts, [key], ident, salts=8).withColumn("_x", F.pmod(F.xxhash64(F.lit(3), ident), F.col("_blocks")).cast("int"))
-    # the block pair (low, high): every row stands on the low side with all blocks above, and on the high side with all below
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_y")
-    spread = cut.select("*", every)
-    a = spread.select(F.col(key).alias("_key"), F.col("_x").alias("_p"), F.col("_y").alias("_q"), F.struct(*rows.columns).alias("a"))
-    b = spread.select(F.col(key).alias("_key"), F.col("_y").alias("_p"), F.col("_x").alias("_q"), F.struct(*rows.columns).alias("b"))
-    return a.join(b, ["_key", "_p", "_q"]).where((F.col(f"a.{ident}") < F.col(f"b.{ident}")) & keep).select("a", "b")
+
+    def join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        return left.join(right, on).where((F.col(f"a.{ident}") < F.col(f"b.{ident}")) & keep).select("a", "b")
+
+    own = F.struct(*rows.columns)
+    cold = rows.join(hot.select(key), key, "left_anti")
+    cold = join(cold.select(F.col(key).alias("_key"), own.alias("a")), cold.select(F.col(key).alias("_key"), own.alias("b")), ["_key"])
+    blocks = hot.select(key, F.ceil(F.col("m") / block).cast("int").alias("_blocks"))
+    cut = salted_join(rows, blocks, [key], ident).withColumn("_x", F.pmod(F.xxhash64(F.lit(3), ident), F.col("_blocks")).cast("int"))
+    cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_y"))
+    left = cut.select(F.col(key).alias("_key"), F.col("_x").alias("_p"), F.col("_y").alias("_q"), own.alias("a"))
+    right = cut.select(F.col(key).alias("_key"), F.col("_y").alias("_p"), F.col("_x").alias("_q"), own.alias("b"))
+    return cold.unionByName(join(left, right, ["_key", "_p", "_q"]))
+
+
+def _expand(pairs: DataFrame, side: str, many: DataFrame, out: str) -> DataFrame:
+    """Replaces the group in column ``side`` by each of its texts; groups outside ``many`` (gid, tid) are their own text."""
+    several = salted_join(many.select(F.col("gid").alias(side), F.col("tid").alias(out)), pairs, [side], out)
+    lone = pairs.join(many.select(F.col("gid").alias(side)).distinct(), side, "left_anti").withColumn(out, F.col(side))
+    return several.unionByName(lone).drop(side)
 
 
 def similar_pairs(df: DataFrame, id_col: str, text_col: str, words: int = 3, least_words: int = 12, num: int = 1, den: int = 2, common: int = 50_000, block: int = 2_000) -> DataFrame:
@@ -87,43 +102,42 @@ def similar_pairs(df: DataFrame, id_col: str, text_col: str, words: int = 3, lea
     no result), ``block`` the rows of one key in a task.
     """
     low = df.select(F.col(id_col).cast("long").alias("id"), F.lower(F.col(text_col)).alias("t")).where("id is not null and t is not null")
-    long_enough = low.where(F.size(words_of(F.col("t"))) >= least_words).withColumn("m", F.md5(collapse_ws(F.col("t"))))
-    texts = written(long_enough.groupBy("m").agg(F.min("id").alias("tid"), F.min_by("t", "id").alias("t"), F.count("*").alias("copies")), "texts")
-    sets = _with_shingles(texts.select("tid", "t"), "t", words, "set").select("tid", "set")
+    base = low.where(F.size(words_of(F.col("t"))) >= least_words).withColumn("m", F.unhex(F.md5(collapse_ws(F.col("t")))))
+    base = written(base, "base")
+    texts = written(base.groupBy("m").agg(F.min("id").alias("tid"), F.min_by("t", "id").alias("t"), F.count("*").alias("copies")), "texts")
+    sets = texts.select("tid", shingles(F.col("t"), words).alias("set"))
 
-    counts = sets.select(F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
-    top = most_frequent(written(counts, "shingles"), "s", common)
+    counts = written(sets.select(F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where("n > 1"), "shingles")
+    top = most_frequent(counts, "s", common)
     prefixed = _prefixes(sets, np.array(top[::-1], np.int64), num, den)
-    prefixed = written(prefixed.withColumn("g", F.md5(F.concat_ws(",", F.transform("prefix", lambda x: x.cast("string"))))), "prefixes")
+    prefixed = written(prefixed.withColumns({"g": F.xxhash64("prefix"), "h": F.xxhash64(F.lit(1), "prefix")}), "prefixes")
 
-    # groups: one prefix, one size
-    groups = prefixed.groupBy("g", "size").agg(F.min("tid").alias("gid"), F.count("*").alias("n"))
-    lone = groups.where("n = 1").select("gid")
-    many = salted_join(prefixed.select("g", "size", "tid"), groups.where("n > 1"), ["g", "size"], "tid").select("gid", "tid")
-    members = written(many.unionByName(lone.withColumn("tid", F.col("gid"))), "members")
-    heads = prefixed.join(groups.select("gid"), F.col("tid") == F.col("gid")).select("gid", "size", F.posexplode("prefix").alias("pos", "s"))
+    # groups: one prefix, one size; most are of one text
+    groups = prefixed.groupBy("g", "h", "size").agg(F.min("tid").alias("gid"), F.count("*").alias("m")).where("m > 1")
+    groups = written(groups, "groups")
+    many = written(salted_join(prefixed.select("g", "h", "size", "tid"), groups, ["g", "h", "size"], "tid").select("gid", "tid"), "members")
+    heads = prefixed.join(many.where("gid <> tid").select("tid"), "tid", "left_anti").select(F.col("tid").alias("gid"), "size", F.posexplode("prefix").alias("pos", "s"))
 
     sa, sb = F.col("a.size"), F.col("b.size")
     fits = (F.least(sa, sb) * den >= F.greatest(sa, sb) * num) & (
         # the shared part can't be larger than this shingle and all after it in either set
         (1 + F.least(sa - 1 - F.col("a.pos"), sb - 1 - F.col("b.pos"))) * (num + den) >= (sa + sb) * num
     )
-    pairs = _blocked_pairs(heads.select("s", "gid", "size", "pos"), "s", "gid", fits, block)
+    hot = counts.where(F.col("n") > block).select("s", F.col("n").alias("m"))
+    pairs = _pairs(heads.select("s", "gid", "size", "pos"), "s", "gid", fits, hot, block)
     pairs = pairs.select(F.col("a.gid").alias("g1"), F.col("b.gid").alias("g2")).distinct()
-    across = pairs.join(members.select(F.col("gid").alias("g1"), F.col("tid").alias("x")), "g1").join(members.select(F.col("gid").alias("g2"), F.col("tid").alias("y")), "g2").select("x", "y")
-    inside = _blocked_pairs(many, "gid", "tid", F.lit(True), block).select(F.col("a.tid").alias("x"), F.col("b.tid").alias("y"))
-    found = written(across.unionByName(inside), "candidates")
+    across = _expand(_expand(pairs, "g1", many, "x"), "g2", many, "y").select("x", "y")
+    inside = _pairs(many, "gid", "tid", F.lit(True), groups.where(F.col("m") > block).select("gid", "m"), block)
+    found = written(across.unionByName(inside.select(F.col("a.tid").alias("x"), F.col("b.tid").alias("y"))), "candidates")
 
     body = texts.select("tid", "t")
     both = found.join(body.select(F.col("tid").alias("x"), F.col("t").alias("tx")), "x").join(body.select(F.col("tid").alias("y"), F.col("t").alias("ty")), "y")
-    both = _with_shingles(_with_shingles(both, "tx", words, "sx"), "ty", words, "sy")
+    both = both.select("x", "y", shingles(F.col("tx"), words).alias("sx"), shingles(F.col("ty"), words).alias("sy"))
     shared = both.select("x", "y", F.size(F.array_intersect("sx", "sy")).alias("o"), (F.size("sx") + F.size("sy")).alias("n"))
     similar = written(shared.where(F.col("o") * den >= (F.col("n") - F.col("o")) * num).select("x", "y"), "similar")
 
-    # rows of the texts: copies by digest, everything else stands for itself
+    # texts to their rows: copies by digest, everything else stands for itself
     copied = texts.where("copies > 1").select("m", "tid")
-    rows = salted_join(long_enough.select("m", "id"), copied, ["m"], "id").select("tid", "id").unionByName(texts.where("copies = 1").select("tid", F.col("tid").alias("id")))
-    rows = written(rows, "rows")
-    left = salted_join(rows, similar.withColumnRenamed("x", "tid"), ["tid"], "id").select("y", F.col("id").alias("i"))
-    full = salted_join(rows, left.withColumnRenamed("y", "tid"), ["tid"], "id").select("i", F.col("id").alias("j"))
-    return full.where("i <> j").select(F.least("i", "j").alias(f"{id_col}_1"), F.greatest("i", "j").alias(f"{id_col}_2"))
+    copies = written(salted_join(base.select("m", "id"), copied, ["m"], "id").select(F.col("tid").alias("gid"), F.col("id").alias("tid")), "copies")
+    full = _expand(_expand(similar, "x", copies, "i"), "y", copies, "j").where("i <> j")
+    return full.select(F.least("i", "j").alias(f"{id_col}_1"), F.greatest("i", "j").alias(f"{id_col}_2"))
