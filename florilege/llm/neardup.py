@@ -2,7 +2,7 @@
 
 A text is the set of its runs of ``words`` words. Texts are collapsed twice: equal normalised texts to one, and texts
 whose prefixes (the rarest shingles, as many as any similar text must share one of) and sizes are equal to one group.
-Group pairs that share a prefix shingle are filtered by size and position; what is left is expanded to its texts and
+Group pairs that share a prefix shingle are filtered by size, position and parity bits; what is left is expanded to its texts and
 verified on the whole sets, and similar texts are expanded to their rows.
 """
 
@@ -37,8 +37,11 @@ def shingles(text: Column, words: int) -> Column:
 
 
 def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFrame:
-    """(tid, size, prefix): shingles in one global order, the common ones last and by ascending count; a prefix is as
-    long as needed for similar sets (at least num/den of their union shared) to have one shingle of it in common."""
+    """(tid, size, prefix, b1, b2): shingles in one global order, the common ones last and by ascending count; a prefix is
+    as long as needed for similar sets (at least num/den of their union shared) to have one shingle of it in common.
+
+    b1 and b2 are 128 bits, each the parity of the whole set's shingles that hash to it: sets that differ in few
+    shingles differ in few bits."""
     order = np.argsort(common)
     by_value = common[order]
     shared = sets.sparkSession.sparkContext.broadcast((by_value, order + 1))
@@ -59,30 +62,37 @@ def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFr
             place = np.arange(len(flat)) - start[row]
             kept = flat[by][place < take[row]]
             ends = np.concatenate(([0], np.cumsum(np.minimum(take, offs)))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(offs.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(kept))], ["tid", "size", "prefix"])
+            bit, half = np.int64(1) << (flat & 63), (flat >> 6) & 1
+            parity = [np.zeros(len(offs), np.int64), np.zeros(len(offs), np.int64)]
+            for k in (0, 1):
+                np.bitwise_xor.at(parity[k], row, np.where(half == k, bit, 0))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(offs.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(kept)), *map(pa.array, parity)], ["tid", "size", "prefix", "b1", "b2"])
 
-    return sets.select("tid", "set").mapInArrow(run, "tid bigint, size int, prefix array<bigint>")
+    return sets.select("tid", "set").mapInArrow(run, "tid bigint, size int, prefix array<bigint>, b1 bigint, b2 bigint")
 
 
 def _pairs(rows: DataFrame, key: str, ident: str, keep: Column, hot: DataFrame, block: int) -> DataFrame:
-    """(a, b) of rows that share ``key``, with ``keep`` on the pair and a's ident below b's.
+    """(a_ident, b_ident) of rows that share ``key``, with ``keep`` on the pair (columns a_... and b_...) and a's ident
+    below b's.
 
     ``hot`` (key, m) has at least all keys of more than ``block`` rows. Their rows are cut into blocks by a hash of ident, and each pair of
     blocks is a join key of its own, so that no task gets a whole hot key.
     """
+    rest = [c for c in rows.columns if c != key]
+
+    def side(df: DataFrame, name: str, low: str = "", high: str = "") -> DataFrame:
+        at = [F.col(low).alias("_p"), F.col(high).alias("_q")] if low else []
+        return df.select(F.col(key).alias("_key"), *at, *[F.col(c).alias(f"{name}_{c}") for c in rest])
 
     def join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        return left.join(right, on).where((F.col(f"a.{ident}") < F.col(f"b.{ident}")) & keep).select("a", "b")
+        return left.join(right, on).where((F.col(f"a_{ident}") < F.col(f"b_{ident}")) & keep).select(f"a_{ident}", f"b_{ident}")
 
-    own = F.struct(*rows.columns)
     cold = rows.join(hot.select(key), key, "left_anti")
-    cold = join(cold.select(F.col(key).alias("_key"), own.alias("a")), cold.select(F.col(key).alias("_key"), own.alias("b")), ["_key"])
+    cold = join(side(cold, "a"), side(cold, "b"), ["_key"])
     blocks = hot.select(key, F.ceil(F.col("m") / block).cast("int").alias("_blocks"))
     cut = salted_join(rows, blocks, [key], ident).withColumn("_x", F.pmod(F.xxhash64(F.lit(3), ident), F.col("_blocks")).cast("int"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_y"))
-    left = cut.select(F.col(key).alias("_key"), F.col("_x").alias("_p"), F.col("_y").alias("_q"), own.alias("a"))
-    right = cut.select(F.col(key).alias("_key"), F.col("_y").alias("_p"), F.col("_x").alias("_q"), own.alias("b"))
-    return cold.unionByName(join(left, right, ["_key", "_p", "_q"]))
+    return cold.unionByName(join(side(cut, "a", "_x", "_y"), side(cut, "b", "_y", "_x"), ["_key", "_p", "_q"]))
 
 
 def _expand(pairs: DataFrame, side: str, many: DataFrame, out: str) -> DataFrame:
@@ -92,7 +102,7 @@ def _expand(pairs: DataFrame, side: str, many: DataFrame, out: str) -> DataFrame
     return several.unionByName(lone).drop(side)
 
 
-def similar_pairs(df: DataFrame, id_col: str, text_col: str, words: int = 3, least_words: int = 12, num: int = 1, den: int = 2, common: int = 50_000, block: int = 2_000) -> DataFrame:
+def similar_pairs(df: DataFrame, id_col: str, text_col: str, words: int = 3, least_words: int = 12, num: int = 1, den: int = 2, common: int = 200_000, block: int = 2_000) -> DataFrame:
     """(id_1, id_2), id_1 < id_2: rows of at least ``least_words`` words whose texts still differ once lower-cased, trimmed
     and with white space made one space, and whose shingle sets share at least num/den of their union.
 
@@ -112,23 +122,27 @@ def similar_pairs(df: DataFrame, id_col: str, text_col: str, words: int = 3, lea
     prefixed = _prefixes(sets, np.array(top[::-1], np.int64), num, den)
     prefixed = written(prefixed.withColumns({"g": F.xxhash64("prefix"), "h": F.xxhash64(F.lit(1), "prefix")}), "prefixes")
 
-    # groups: one prefix, one size; most are of one text
-    groups = prefixed.groupBy("g", "h", "size").agg(F.min("tid").alias("gid"), F.count("*").alias("m")).where("m > 1")
+    # groups: one prefix, one size (and one parity, as it filters below); most are of one text
+    groups = prefixed.groupBy("g", "h", "size", "b1", "b2").agg(F.min("tid").alias("gid"), F.count("*").alias("m")).where("m > 1")
     groups = written(groups, "groups")
-    many = written(salted_join(prefixed.select("g", "h", "size", "tid"), groups, ["g", "h", "size"], "tid").select("gid", "tid"), "members")
-    heads = prefixed.join(many.where("gid <> tid").select("tid"), "tid", "left_anti").select(F.col("tid").alias("gid"), "size", F.posexplode("prefix").alias("pos", "s"))
+    many = written(salted_join(prefixed.select("g", "h", "size", "b1", "b2", "tid"), groups, ["g", "h", "size", "b1", "b2"], "tid").select("gid", "tid"), "members")
+    heads = prefixed.join(many.where("gid <> tid").select("tid"), "tid", "left_anti").select(F.col("tid").alias("gid"), "size", "b1", "b2", F.posexplode("prefix").alias("pos", "s"))
 
-    sa, sb = F.col("a.size"), F.col("b.size")
-    fits = (F.least(sa, sb) * den >= F.greatest(sa, sb) * num) & (
+    sa, sb = F.col("a_size"), F.col("b_size")
+    apart = F.bit_count(F.col("a_b1").bitwiseXOR(F.col("b_b1"))) + F.bit_count(F.col("a_b2").bitwiseXOR(F.col("b_b2")))
+    fits = (
+        (F.least(sa, sb) * den >= F.greatest(sa, sb) * num)
         # the shared part can't be larger than this shingle and all after it in either set
-        (1 + F.least(sa - 1 - F.col("a.pos"), sb - 1 - F.col("b.pos"))) * (num + den) >= (sa + sb) * num
+        & ((1 + F.least(sa - 1 - F.col("a_pos"), sb - 1 - F.col("b_pos"))) * (num + den) >= (sa + sb) * num)
+        # nor larger than half of what is left once the shingles that the bits show to differ are taken off
+        & ((sa + sb - apart) * (num + den) >= 2 * (sa + sb) * num)
     )
     hot = counts.where(F.col("n") > block).select("s", F.col("n").alias("m"))
-    pairs = _pairs(heads.select("s", "gid", "size", "pos"), "s", "gid", fits, hot, block)
-    pairs = pairs.select(F.col("a.gid").alias("g1"), F.col("b.gid").alias("g2")).distinct()
+    pairs = _pairs(heads.select("s", "gid", "size", "pos", "b1", "b2"), "s", "gid", fits, hot, block)
+    pairs = pairs.select(F.col("a_gid").alias("g1"), F.col("b_gid").alias("g2")).distinct()
     across = _expand(_expand(pairs, "g1", many, "x"), "g2", many, "y").select("x", "y")
     inside = _pairs(many, "gid", "tid", F.lit(True), groups.where(F.col("m") > block).select("gid", "m"), block)
-    found = written(across.unionByName(inside.select(F.col("a.tid").alias("x"), F.col("b.tid").alias("y"))), "candidates")
+    found = written(across.unionByName(inside.select(F.col("a_tid").alias("x"), F.col("b_tid").alias("y"))), "candidates")
 
     body = texts.select("tid", "t")
     both = found.join(body.select(F.col("tid").alias("x"), F.col("t").alias("tx")), "x").join(body.select(F.col("tid").alias("y"), F.col("t").alias("ty")), "y")
