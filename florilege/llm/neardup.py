@@ -139,7 +139,7 @@ def similar_pairs(df: DataFrame, id_col: str, text_col: str, words: int = 3, lea
     )
     hot = counts.where(F.col("n") > block).select("s", F.col("n").alias("m"))
     pairs = _pairs(heads.select("s", "gid", "size", "pos", "b1", "b2"), "s", "gid", fits, hot, block)
-    pairs = pairs.select(F.col("a_gid").alias("g1"), F.col("b_gid").alias("g2")).distinct()
+    pairs = written(pairs.select(F.col("a_gid").alias("g1"), F.col("b_gid").alias("g2")).distinct(), "pairs")
     across = _expand(_expand(pairs, "g1", many, "x"), "g2", many, "y").select("x", "y")
     inside = _pairs(many, "gid", "tid", F.lit(True), groups.where(F.col("m") > block).select("gid", "m"), block)
     found = written(across.unionByName(inside.select(F.col("a_tid").alias("x"), F.col("b_tid").alias("y"))), "candidates")
