@@ -159,7 +159,7 @@ def profile(df: DataFrame, load: str, rules: dict[str, Column]) -> DataFrame:
 
 
 #: Features of a column: null, unfit (empty where there is no rule), log length or scaled number, and hashed value buckets.
-_BUCKETS = 6
+_BUCKETS = 4
 
 
 def _features(df: DataFrame, rules: dict[str, Column], load: str, skip: list[str]) -> tuple[list[str], Column]:
@@ -210,7 +210,7 @@ def _sides(load: np.ndarray, pairs: list[tuple[int, int]]) -> Iterator[tuple[int
             yield k, at, (load[at] == new).astype(float)
 
 
-def drift(df: DataFrame, id_col: str, load: str, rules: dict[str, Column], skip: list[str] = [], folds: int = 2, train_rows: int = 400_000, steps: int = 7, ridge: float = 1.0, bins: int = 4096) -> DataFrame:
+def drift(df: DataFrame, id_col: str, load: str, rules: dict[str, Column], skip: list[str] = [], folds: int = 2, train_rows: int = 200_000, steps: int = 6, ridge: float = 1.0, bins: int = 4096) -> DataFrame:
     """Classifier two-sample test between each load and the one after it.
 
     One row per pair of loads and column, and one with column ``*`` for all columns together: old_load, new_load, column,

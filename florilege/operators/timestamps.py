@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from florilege.functions.text import is_blank
-from florilege.session import shared_path
+from florilege.session import salted_join, shared_path, spread
 
 #: What the reading of a text depends on: the text itself, the order of day and month, the zone of the place.
 _KEY = ["text", "month_first", "zone"]
@@ -55,7 +55,7 @@ class DateDictionary:
         new = keyed.select(*_KEY).where("text is not null").distinct()
         if (known := self.table()) is not None:
             new = new.join(known.select(*_KEY), _KEY, "left_anti")
-        new.mapInArrow(_read, _SCHEMA).write.mode("append").option("compression", "zstd").parquet(self.path)
+        spread(new).mapInArrow(_read, _SCHEMA).write.mode("append").option("compression", "zstd").parquet(self.path)
         return self.table()
 
 
@@ -69,8 +69,6 @@ def normalise_dates(df: DataFrame, id_col: str, raw: str, fallback: str, lang: s
     Texts with a third of all rows cost nothing extra: they are one row of the dictionary, and the join back is
     left to spread them (the dictionary side is repeated per salt).
     """
-    from florilege.session import salted_join
-
     text = F.when(is_blank(F.col(raw)), F.col(fallback)).otherwise(F.col(raw))
     rows = df.select(
         F.col(id_col).alias("_id"),

@@ -83,6 +83,14 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over a number of tasks that follows the cluster's cores, for stages that cost much CPU for few bytes:
+    adaptive execution would join their small partitions to one or two tasks."""
+    spark = df.sparkSession
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys)
+
+
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = 16) -> DataFrame:
     """Equi-join in which a hot key of ``big`` goes to ``salts`` tasks: ``small`` (one row per key) is repeated
     once per salt, ``big`` takes the salt from a hash of the column ``spread``. ``how``: inner, left, left_semi."""
