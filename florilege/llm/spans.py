@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from florilege.functions.text import collapse_ws
-from florilege.session import salted_join, written
+from florilege.session import salted_join, spread, written
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -210,7 +210,7 @@ def _compare_groups(members: DataFrame, least: int, size: int, rows: int = 4_000
             for a, z in _group_portions(held.column("h").to_numpy(), rows):
                 yield done(held.slice(a, z - a))
 
-    return members.repartition("h").sortWithinPartitions("h").select("h", "doc", "pos", "left", "context").mapInArrow(run, _SPAN)
+    return spread(members, "h").sortWithinPartitions("h").select("h", "doc", "pos", "left", "context").mapInArrow(run, _SPAN)
 
 
 def _group_portions(h: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
