@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,12 @@ from pyspark.sql import functions as F
 WS = r"[\s\u0085   -     　]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: a lambda's variable stands for it, so that neither the plan nor the
+    evaluation repeats it at each use."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def trim_u(c: Column) -> Column:
     """Trims all Unicode white space; Spark's own trim takes spaces only."""
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
