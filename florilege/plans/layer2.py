@@ -11,7 +11,8 @@ from florilege.functions import rules
 from florilege.functions.hashing import content_key, hash16, quote_key
 from florilege.functions.text import let, trim_u
 
-_NONE = F.lit(None).cast("string")
+def _none() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _heading_hint(p: Column) -> Column:
@@ -159,8 +160,8 @@ def quotes(blocks: DataFrame) -> DataFrame:
     def heading_rt(p: Column) -> Column:
         whole = F.regexp_extract(p["wikitext"], r"\A''+(.*?)''+\z", 1)
         span = F.struct(
-            F.lit(0).alias("start"), F.octet_length(p["text"]).alias("end"), F.lit("italic").alias("kind"), p["text"].alias("shown"), *[_NONE.alias(k) for k in ("site", "lang", "title", "fragment", "url", "name")],
-            F.lit(None).cast(schema.PARAMS).alias("params"), _NONE.alias("wikitext"), _NONE.alias("note"),
+            F.lit(0).alias("start"), F.octet_length(p["text"]).alias("end"), F.lit("italic").alias("kind"), p["text"].alias("shown"), *[_none().alias(k) for k in ("site", "lang", "title", "fragment", "url", "name")],
+            F.lit(None).cast(schema.PARAMS).alias("params"), _none().alias("wikitext"), _none().alias("note"),
         ).cast(schema.SPAN)
         spans = F.when(whole != "", F.array(span)).otherwise(F.array().cast(f"array<{schema.SPAN}>"))
         return F.struct(p["text"].alias("text"), p["wikitext"].alias("wikitext"), spans.alias("spans")).cast(schema.RICH)
@@ -172,12 +173,12 @@ def quotes(blocks: DataFrame) -> DataFrame:
     )
     from_notes = F.transform(
         F.filter("notes", lambda a: a["kind"].isin("citation", "attribution")),
-        lambda a: F.struct(F.lit("annotation").alias("origin"), F.lit(None).cast("smallint").alias("level"), _NONE.alias("name"), trim_u(a["rt"]["wikitext"]).alias("raw"), F.lit(None).cast(hint_type).alias("hint"), _reading(a["rt"]).alias("r")),
+        lambda a: F.struct(F.lit("annotation").alias("origin"), F.lit(None).cast("smallint").alias("level"), _none().alias("name"), trim_u(a["rt"]["wikitext"]).alias("raw"), F.lit(None).cast(hint_type).alias("hint"), _reading(a["rt"]).alias("r")),
     )
     b = b.withColumn("parts", F.concat(from_headings, from_notes))
     b = b.withColumn("folded", F.when((F.size("parts") > 0) | F.col("work_page"), _source(F.col("parts"), F.col("work_page"), F.col("title"), F.col("page_type"))))
     listed = F.concat(
-        F.when(F.col("work_page"), F.array(F.struct(F.lit("page_subject").alias("origin"), F.lit(None).cast("smallint").alias("level"), _NONE.alias("hint"), F.col("title").alias("raw")))).otherwise(F.array().cast(f"array<{schema.PART}>")),
+        F.when(F.col("work_page"), F.array(F.struct(F.lit("page_subject").alias("origin"), F.lit(None).cast("smallint").alias("level"), _none().alias("hint"), F.col("title").alias("raw")))).otherwise(F.array().cast(f"array<{schema.PART}>")),
         F.transform("parts", lambda p: F.struct(p["origin"].alias("origin"), p["level"].alias("level"), p["name"].alias("hint"), p["raw"].alias("raw"))),
     )
     f = F.col("folded")
@@ -201,7 +202,7 @@ def quotes(blocks: DataFrame) -> DataFrame:
 def _base(b: DataFrame, rt: Column, index: Column, kind: Column, speaker: Column, speaker_from: Column, about: Column, notes: Column) -> DataFrame:
     lang = _language(rt["spans"], F.col("wiki_language"))
     shown = F.transform(notes, lambda a: F.struct(a["kind"].alias("kind"), a["rt"]["text"].alias("text"), trim_u(a["rt"]["wikitext"]).alias("wikitext")))
-    translated = F.transform(F.filter(notes, lambda a: a["kind"] == "translation"), lambda a: F.struct(_strip_label(a["rt"]["text"]).alias("text"), _NONE.alias("language"), _NONE.alias("translator"), F.lit(False).alias("is_original")))
+    translated = F.transform(F.filter(notes, lambda a: a["kind"] == "translation"), lambda a: F.struct(_strip_label(a["rt"]["text"]).alias("text"), _none().alias("language"), _none().alias("translator"), F.lit(False).alias("is_original")))
     notes_left = F.least(F.size(F.filter(notes, lambda a: a["kind"] == "note")), F.lit(255)).cast("smallint")
     return b.select(
         "wiki_language", F.col("title").alias("page_title"), "page_id", "page_type", "revision_id", rt["text"].alias("text"), rt["wikitext"].alias("wikitext"),
@@ -249,7 +250,7 @@ def _dialogues(b: DataFrame) -> DataFrame:
     rt = F.struct(said.alias("text"), markup.alias("wikitext"), F.array().cast(f"array<{schema.SPAN}>").alias("spans")).cast(schema.RICH)
     rows = rows.withColumn("said", rt)
     none = F.lit(None).cast(schema.AGENT)
-    return _base(rows, F.col("said"), F.col("block_index"), F.lit("dialogue"), none, _NONE, F.array().cast(f"array<{schema.AGENT}>"), F.array().cast(_EMPTY))
+    return _base(rows, F.col("said"), F.col("block_index"), F.lit("dialogue"), none, _none(), F.array().cast(f"array<{schema.AGENT}>"), F.array().cast(_EMPTY))
 
 
 def _turns(b: DataFrame) -> DataFrame:
