@@ -275,13 +275,13 @@ def drift(df: DataFrame, id_col: str, load: str, rules: dict[str, Column], skip:
 
         out = "m bigint, g binary, h binary"
         parts = fit.select("load", "fold", "f").mapInArrow(run, out)
-        # two levels of sums, so that neither a task nor the driver gets more than a share of the tasks' sums
-        some = parts.withColumn("s", F.spark_partition_id() % 16).repartition(F.col("s")).drop("s").mapInArrow(add, out)
-        return some
+        # two levels of sums, so that no task gets the sums of all others; the driver gets one sum a model
+        some = parts.repartition(F.col("m"), F.spark_partition_id() % 16).mapInArrow(add, out)
+        return some.repartition("m").mapInArrow(add, out)
 
     for _ in range(steps):
         g, h = np.zeros((models, dim)), np.zeros((models, dim, dim))
-        for r in newton(w).toLocalIterator():  # at most 16 sums a model, each of fixed size
+        for r in newton(w).collect():  # one sum a model, of fixed size
             g[r["m"]] += np.frombuffer(r["g"])
             h[r["m"]] += np.frombuffer(r["h"]).reshape(dim, dim)
         for m in range(models):

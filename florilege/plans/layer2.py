@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,11 +12,23 @@ from florilege.functions import citation as c
 from florilege.functions import rules
 from florilege.functions.hashing import content_key, hash16, quote_key
 from florilege.functions.text import let, trim_u
+from florilege.session import written
 
 def _none() -> Column:
     return F.lit(None).cast("string")
 
 
+#: Long expressions of a session, by application and name: they depend on column names only and are costly to put together.
+_made: dict[tuple[str, str], Column] = {}
+
+
+def _once(df: DataFrame, name: str, build: Callable[[], Column]) -> Column:
+    key = (df.sparkSession.sparkContext.applicationId, name)
+    if key not in _made:
+        _made[key] = build()
+    return _made[key]
+
+
 def _heading_hint(p: Column) -> Column:
     return rules.source_hint(p["text"], p["wikitext"].startswith("''"))
 
@@ -167,16 +181,16 @@ def quotes(blocks: DataFrame) -> DataFrame:
         return F.struct(p["text"].alias("text"), p["wikitext"].alias("wikitext"), spans.alias("spans")).cast(schema.RICH)
 
     hint_type = rules.HINT
-    from_headings = F.transform(
+    from_headings = lambda: F.transform(
         "headings",
         lambda p: F.struct(F.lit("heading").alias("origin"), p["level"].cast("smallint").alias("level"), p["hint"]["kind"].alias("name"), p["wikitext"].alias("raw"), p["hint"].cast(hint_type).alias("hint"), let(heading_rt(p), _reading).alias("r")),
     )
-    from_notes = F.transform(
+    from_notes = lambda: F.transform(
         F.filter("notes", lambda a: a["kind"].isin("citation", "attribution")),
         lambda a: F.struct(F.lit("annotation").alias("origin"), F.lit(None).cast("smallint").alias("level"), _none().alias("name"), trim_u(a["rt"]["wikitext"]).alias("raw"), F.lit(None).cast(hint_type).alias("hint"), _reading(a["rt"]).alias("r")),
     )
-    b = b.withColumn("parts", F.concat(from_headings, from_notes))
-    b = b.withColumn("folded", F.when((F.size("parts") > 0) | F.col("work_page"), _source(F.col("parts"), F.col("work_page"), F.col("title"), F.col("page_type"))))
+    b = b.withColumn("parts", _once(b, "parts", lambda: F.concat(from_headings(), from_notes())))
+    b = b.withColumn("folded", _once(b, "folded", lambda: F.when((F.size("parts") > 0) | F.col("work_page"), _source(F.col("parts"), F.col("work_page"), F.col("title"), F.col("page_type")))))
     listed = F.concat(
         F.when(F.col("work_page"), F.array(F.struct(F.lit("page_subject").alias("origin"), F.lit(None).cast("smallint").alias("level"), _none().alias("hint"), F.col("title").alias("raw")))).otherwise(F.array().cast(f"array<{schema.PART}>")),
         F.transform("parts", lambda p: F.struct(p["origin"].alias("origin"), p["level"].alias("level"), p["name"].alias("hint"), p["raw"].alias("raw"))),
@@ -189,6 +203,8 @@ def quotes(blocks: DataFrame) -> DataFrame:
     has = lambda origin: F.exists("parts", lambda p: p["origin"] == origin)
     origin = F.when(has("heading") & has("annotation"), "mixed").when(has("heading"), "heading").when(has("annotation"), "annotation").otherwise("page_subject")
     b = b.withColumn("source_from", F.when(F.col("source").isNotNull(), origin)).withColumn("st", rules.status_of(F.col("role"), F.col("source.complete")))
+    # written once: the three kinds of records below share it, and the long expressions above are planned once
+    b = written(b.select("wiki_language", "title", "page_id", "page_type", "revision_id", "block_type", "block_index", "rt", "turns", "notes", "subject", "role", "own_role", "context_path", "source", "source_from", "st"), "folded")
     records = _items(b).unionByName(_dialogues(b)).unionByName(_turns(b))
     played = cast_list(blocks).select("page_id", "revision_id", F.col("character").alias("_name"), "actor")
     records = records.withColumn("_name", F.when(F.col("speaker.kind") == "character", F.col("speaker.name"))).join(played, ["page_id", "revision_id", "_name"], "left")
@@ -222,7 +238,7 @@ def _items(b: DataFrame) -> DataFrame:
     role, page = F.col("role"), F.col("page_type")
     kind = F.when(role == "taglines", "tagline").when(role == "song_lyrics", "lyric").when(page == "proverbs", "proverb").otherwise("monologue")
     first = F.get(F.filter(notes, lambda a: a["kind"].isin("citation", "attribution")), 0)["rt"]
-    rows = rows.withColumn("named", c.agent_of(first))
+    rows = rows.withColumn("named", _once(b, "named", lambda: c.agent_of(first)))
     named = F.col("named")
     # role of the page's subject comes before what a citation names, except where others speak about it
     speaker = (
