@@ -18,8 +18,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def trim_u(c: Column) -> Column:
-    """Trims all Unicode white space; Spark's own trim takes spaces only."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    """Trims all Unicode white space; Spark's own trim takes spaces only. The end is looked for only where a run begins, so
+    long runs inside a text cost no more than their length."""
+    return F.regexp_replace(c, f"^{WS}+|(?<!{WS}){WS}+$", "")
 
 
 def collapse_ws(c: Column) -> Column:

@@ -28,18 +28,21 @@ MISSING = [
 ]
 
 
+_EDGE = r"[\s\p{Z}\p{P}<>]"
+
+
 def missing_sign(c: Column) -> Column:
     """Whether a text only says that the value is missing: one of MISSING, or no letter or digit at all."""
-    core = F.lower(F.regexp_replace(c, rf"^[\s\p{{Z}}\p{{P}}<>]+|[\s\p{{Z}}\p{{P}}<>]+$", ""))
+    core = F.lower(F.regexp_replace(c, rf"^{_EDGE}+|(?<!{_EDGE}){_EDGE}+$", ""))
     return core.isin(MISSING) | ~c.rlike(r"[\p{L}\p{N}]")
 
 
 # Patterns of markup, entities, control and mis-decoded characters, web and mail addresses.
-_MARKUP = r"\[\[|\]\]|\{\{|\}\}|''|<!--|-->|</?[A-Za-z][^<>]*>|<[A-Za-z]+\s*/?$|^=+[^=]+=+$|\{\||\|\}|__[A-Z]+__|\[https?:"
+_MARKUP = r"\[\[|\]\]|\{\{|\}\}|''|<!--|-->|</?[A-Za-z][^<>]{0,1000}>|<[A-Za-z]+\s*/?$|^=++[^=]++=+$|\{\||\|\}|__[A-Z]+__|\[https?:"
 _ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]{1,31}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 _CONTROL = r"[\p{Cc}\x{FFFD}\x{FEFF}\x{FFFE}\x{FFFF}\p{Co}]"
 _MISDECODED = r"[\x{C2}\x{C3}][\x{80}-\x{BF}\x{152}\x{153}\x{160}\x{161}\x{178}\x{17D}\x{17E}\x{192}\x{2C6}\x{2DC}\x{2013}-\x{2022}\x{2026}\x{2030}\x{2039}\x{203A}\x{20AC}\x{2122}]|\x{E2}\x{20AC}|\x{EF}\x{BB}\x{BF}|\x{EF}\x{BF}\x{BD}"
-_ADDRESS = r"(?i)\b[a-z][a-z0-9+.-]*://\S|\bwww\.[^\s.]+\.\S|\bmailto:|[^\s@<>()]+@[^\s@<>()]+\.[a-z]{2,}"
+_ADDRESS = r"(?i)\b[a-z][a-z0-9+.-]{0,30}://\S|\bwww\.[^\s.]{1,200}\.\S|\bmailto:|[^\s@<>()]@[^\s@<>()]{1,250}\.[a-z]{2}"
 
 
 def unfit_label(c: Column) -> Column:
