@@ -167,23 +167,13 @@ def quotes(blocks: DataFrame) -> DataFrame:
     b = b.withColumn("subject", subject)
 
     # parts of the source: hinted headings outermost first, then citations; each is read once
-    headings = F.filter(F.transform("path", lambda p: F.struct(p["level"].alias("level"), p["text"].alias("text"), p["wikitext"].alias("wikitext"), _heading_hint(p).alias("hint"))), lambda p: p["hint"].isNotNull())
+    headings = F.filter(F.transform("path", lambda p: F.struct(p["level"].alias("level"), p["text"].alias("text"), p["wikitext"].alias("wikitext"), p["spans"].alias("spans"), _heading_hint(p).alias("hint"))), lambda p: p["hint"].isNotNull())
     kinds = F.transform(F.coalesce("annotations", F.array().cast(blocks.schema["annotations"].dataType)), lambda a: F.struct(rules.annotation_kind(a["rt"]).alias("kind"), a["rt"].alias("rt")))
     b = b.withColumn("notes", kinds).withColumn("headings", headings)
-    # a heading is rich text too: italics over all of it make it a title
-    def heading_rt(p: Column) -> Column:
-        whole = F.regexp_extract(p["wikitext"], r"\A''+(.*?)''+\z", 1)
-        span = F.struct(
-            F.lit(0).alias("start"), F.octet_length(p["text"]).alias("end"), F.lit("italic").alias("kind"), p["text"].alias("shown"), *[_none().alias(k) for k in ("site", "lang", "title", "fragment", "url", "name")],
-            F.lit(None).cast(schema.PARAMS).alias("params"), _none().alias("wikitext"), _none().alias("note"),
-        ).cast(schema.SPAN)
-        spans = F.when(whole != "", F.array(span)).otherwise(F.array().cast(f"array<{schema.SPAN}>"))
-        return F.struct(p["text"].alias("text"), p["wikitext"].alias("wikitext"), spans.alias("spans")).cast(schema.RICH)
-
     hint_type = rules.HINT
     from_headings = lambda: F.transform(
         "headings",
-        lambda p: F.struct(F.lit("heading").alias("origin"), p["level"].cast("smallint").alias("level"), p["hint"]["kind"].alias("name"), p["wikitext"].alias("raw"), p["hint"].cast(hint_type).alias("hint"), let(heading_rt(p), _reading).alias("r")),
+        lambda p: F.struct(F.lit("heading").alias("origin"), p["level"].cast("smallint").alias("level"), p["hint"]["kind"].alias("name"), p["wikitext"].alias("raw"), p["hint"].cast(hint_type).alias("hint"), _reading(p).alias("r")),
     )
     from_notes = lambda: F.transform(
         F.filter("notes", lambda a: a["kind"].isin("citation", "attribution")),

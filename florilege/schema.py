@@ -7,7 +7,7 @@ PARAMS = "array<struct<key:string,value:string>>"
 SPAN = f"struct<start:int,end:int,kind:string,shown:string,site:string,lang:string,title:string,fragment:string,url:string,name:string,params:{PARAMS},wikitext:string,note:string>"
 RICH = f"struct<text:string,wikitext:string,spans:array<{SPAN}>>"
 TEMPLATE = f"struct<name:string,params:{PARAMS},wikitext:string>"
-PATH = "array<struct<level:int,text:string,wikitext:string>>"
+PATH = f"array<struct<level:int,text:string,wikitext:string,spans:array<{SPAN}>>>"
 
 #: One page as a dump has it.
 RAW_PAGE = "title string, ns int, page_id bigint, redirect_to string, revision_id bigint, timestamp string, text string"

@@ -86,7 +86,7 @@ class Page:
         level = min(len(m[1]), len(m[3]))
         inner = m[0].strip().strip("=").strip()
         rt, _ = self._rich(inner)
-        self.path = [p for p in self.path if p["level"] < level] + [{"level": level, "text": rt["text"], "wikitext": inner}]
+        self.path = [p for p in self.path if p["level"] < level] + [{"level": level, "text": rt["text"], "wikitext": inner, "spans": rt["spans"]}]
         self.sections += 1
         self.section, self.index = self.sections, 0
         self._emit("section")
