@@ -18,7 +18,7 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
 
     Lengths are placed longest first, each into the containers that hold least so far (most room) and can take it;
     equal containers are one pattern with a count, so the work depends on the histogram and not on the items.
-    A length that fits nowhere opens containers of its own.
+    A length that fits nowhere opens containers, each for as many items of it as there are and as it can hold.
     """
     open_by_room: dict[int, list[tuple[int, tuple[int, ...]]]] = defaultdict(list)
     done: list[tuple[int, tuple[int, ...]]] = []
@@ -31,8 +31,11 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
         while left:
             room = max((r for r, packs in open_by_room.items() if packs), default=-1)
             if room < length:
-                put(left, (length,), capacity - length)
-                break
+                # one after the other, items of one length go on into the container opened last until it is full
+                many = min(left, capacity // length)
+                put(left // many, (length,) * many, capacity - many * length)
+                left %= many
+                continue
             count, lengths = open_by_room[room].pop()
             used = min(count, left)
             left -= used
