@@ -9,6 +9,7 @@ from florilege.operators.nested import SECTION_STEPS, flatten_array, flatten_jso
 from florilege.operators.quality import drift, profile, unfit, unfit_date, unfit_label
 from florilege.operators.skew import distinct_per_key
 from florilege.operators.timestamps import normalise_dates
+from florilege.queries.core_sql import SQL as SQL
 from florilege.session import table
 
 
@@ -55,9 +56,3 @@ def p5_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p2_found, p3_found, p5_found, p5_profile, p5_drift)}
-
-SQL = {
-    "p3_found": """
-        SELECT page_title, page_type, count(DISTINCT id) AS n_ids
-        FROM quotes WHERE page_title IS NOT NULL GROUP BY page_title, page_type""",
-}
