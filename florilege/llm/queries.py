@@ -10,6 +10,7 @@ from florilege.llm.names import linked_names
 from florilege.llm.neardup import similar_pairs
 from florilege.llm.packing import pack_items
 from florilege.llm.spans import repeated_units, shared_spans
+from florilege.llm.sql import SQL as SQL
 from florilege.llm.tokens import encode, vocabulary
 from florilege.session import table
 
@@ -48,4 +49,3 @@ def p10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p6_found, p7_found, p8_ids, p9_containers, p10_found, p10_lines)}
-SQL: dict[str, str] = {}
