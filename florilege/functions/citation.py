@@ -28,11 +28,6 @@ ISBN = _U + r"\bISBN\s*([0-9][0-9\-x]{8,})"
 DATE = "struct<iso:string,end:string,precision:string,raw:string>"
 
 
-def _found(text: Column, pattern: str, group: int = 0) -> Column:
-    """A group of the first match, null without one."""
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
-
-
 def month_number(word: Column) -> Column:
     def of(w: Column) -> Column:
         out = F.lit(None).cast("int")
@@ -54,22 +49,24 @@ def _date(iso: Column, precision: str, raw: Column, end: Column | None = None) -
 
 def read_date(text: Column) -> Column:
     """struct<iso, end, precision, raw> of the first form that fits, in order of trust; null if none does."""
-    return let(text, _date_in)
+    return F.when(text.rlike(r"\p{Nd}"), let(text, _date_in))
 
 
 def _date_in(text: Column) -> Column:
     g = lambda p, i: F.regexp_extract(text, p, i)
-    whole = trim_u(text)
+    whole, low = trim_u(text), F.lower(text)
+    bracket = text.contains("(") | text.contains("[")
+    years = text.rlike(r"\p{Nd}{3}")
     dmy, mdy, my = month_number(g(DAY_MONTH_YEAR, 2)), month_number(g(MONTH_DAY_YEAR, 1)), month_number(g(MONTH_YEAR, 1))
     day = lambda p, y, m, d: F.concat_ws("-", _pad(g(p, y), 4), _pad(m, 2), _pad(g(p, d), 2))
     return (
-        F.when(text.rlike(BCE), _date(F.concat(F.lit("-"), _pad(g(BCE, 1), 4)), "year", trim_u(g(BCE, 0))))
-        .when(text.rlike(RANGE), _date(g(RANGE, 1), "range", g(RANGE, 0), g(RANGE, 2)))
-        .when(text.rlike(DAY_MONTH_YEAR) & dmy.isNotNull(), _date(day(DAY_MONTH_YEAR, 3, dmy, 1), "day", trim_u(g(DAY_MONTH_YEAR, 0))))
-        .when(text.rlike(MONTH_DAY_YEAR) & mdy.isNotNull(), _date(day(MONTH_DAY_YEAR, 3, mdy, 2), "day", trim_u(g(MONTH_DAY_YEAR, 0))))
-        .when(text.rlike(MONTH_YEAR) & my.isNotNull(), _date(F.concat_ws("-", _pad(g(MONTH_YEAR, 2), 4), _pad(my, 2)), "month", trim_u(g(MONTH_YEAR, 0))))
-        .when(text.rlike(CIRCA), _date(_pad(g(CIRCA, 1), 4), "circa", trim_u(g(CIRCA, 0))))
-        .when(text.rlike(BRACKET_YEAR), _date(_pad(g(BRACKET_YEAR, 1), 4), "year", g(BRACKET_YEAR, 1)))
+        F.when((low.contains("bc") | low.contains("b.c")) & text.rlike(BCE), _date(F.concat(F.lit("-"), _pad(g(BCE, 1), 4)), "year", trim_u(g(BCE, 0))))
+        .when(bracket & text.rlike(RANGE), _date(g(RANGE, 1), "range", g(RANGE, 0), g(RANGE, 2)))
+        .when(years & text.rlike(DAY_MONTH_YEAR) & dmy.isNotNull(), _date(day(DAY_MONTH_YEAR, 3, dmy, 1), "day", trim_u(g(DAY_MONTH_YEAR, 0))))
+        .when(years & text.rlike(MONTH_DAY_YEAR) & mdy.isNotNull(), _date(day(MONTH_DAY_YEAR, 3, mdy, 2), "day", trim_u(g(MONTH_DAY_YEAR, 0))))
+        .when(years & text.rlike(MONTH_YEAR) & my.isNotNull(), _date(F.concat_ws("-", _pad(g(MONTH_YEAR, 2), 4), _pad(my, 2)), "month", trim_u(g(MONTH_YEAR, 0))))
+        .when(years & low.contains("c") & text.rlike(CIRCA), _date(_pad(g(CIRCA, 1), 4), "circa", trim_u(g(CIRCA, 0))))
+        .when(bracket & text.rlike(BRACKET_YEAR), _date(_pad(g(BRACKET_YEAR, 1), 4), "year", g(BRACKET_YEAR, 1)))
         .when(whole.rlike(r"\A(?:[0-9]{4}|\+[0-9]{3})\z"), _date(_pad(F.regexp_replace(whole, r"^\+", ""), 4), "year", whole))
     )
 
@@ -82,12 +79,24 @@ def before_retrieval(text: Column) -> Column:
     return F.when(cut.isNull(), text).otherwise(F.substring(text, F.lit(1), cut - 1))
 
 
+#: Letters without which a pattern can't match: looking for them first is far cheaper than the pattern.
+_NEEDS = {PAGE: ["p."], CHAPTER: ["ch"], PART: ["no.", "number", "book", "part", "vol"], ACT: ["act"], LINE: ["line"], ISBN: ["isbn"]}
+
+
+def _needed(text: Column, pattern: str) -> Column:
+    low, (first, *others) = F.lower(text), _NEEDS[pattern]
+    out = low.contains(first)
+    for w in others:
+        out = out | low.contains(w)
+    return out
+
+
 def locator(text: Column, pattern: str) -> Column:
-    return trim_u(_found(text, pattern))
+    return F.when(_needed(text, pattern), trim_u(F.regexp_substr(text, F.lit(pattern))))
 
 
 def isbn(text: Column) -> Column:
-    return trim_u(_found(text, ISBN, 1))
+    return F.when(_needed(text, ISBN), trim_u(F.nullif(F.regexp_extract(text, ISBN, 1), F.lit(""))))
 
 
 def _word(text: Column, word: str) -> Column:
