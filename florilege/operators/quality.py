@@ -134,7 +134,8 @@ def profile(df: DataFrame, load: str, rules: dict[str, Column]) -> DataFrame:
             F.struct(
                 F.lit(_shown(name)).alias("column"),
                 F.when(F.octet_length(text) > 64, F.md5(text)).otherwise(text).alias("v"),
-                F.when(F.lit(number), F.lit(None).cast("string")).otherwise(text).alias("t"),
+                # the text itself goes along only where a digest stands for it
+                F.when(F.lit(not number) & (F.octet_length(text) > 64), text).alias("t"),
                 (F.col(name).cast("double") if number else F.lit(None).cast("double")).alias("x"),
                 (F.coalesce(rule, F.lit(False)) if rule is not None else F.lit(False)).cast("int").alias("bad"),
             )
@@ -147,7 +148,7 @@ def profile(df: DataFrame, load: str, rules: dict[str, Column]) -> DataFrame:
         F.sum("n").alias("n_rows"),
         F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
         F.count("v").alias("n_distinct"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("xlo").alias("xlo"), F.max("xhi").alias("xhi"),
+        F.min(F.coalesce("lo", "v")).alias("lo"), F.max(F.coalesce("hi", "v")).alias("hi"), F.min("xlo").alias("xlo"), F.max("xhi").alias("xhi"),
         F.sum("bad").alias("n_unfit"),
     )
     as_text = lambda x: F.when(x == F.floor(x), F.floor(x).cast("long").cast("string")).otherwise(x.cast("string"))
@@ -243,7 +244,7 @@ def drift(df: DataFrame, id_col: str, load: str, rules: dict[str, Column], skip:
     if not pairs:
         return spark.createDataFrame([], schema)
     share = min(1.0, train_rows / max(1, sum(counts.values())))
-    fit = base.where(F.col("pick") < int(share * (1 << 30)))
+    fit = written(base.where(F.col("pick") < int(share * (1 << 30))).select("load", "fold", "f"), "fit")  # read once a step
     dim, models = 1 + n_cols * _PER, len(pairs) * folds
     w = np.zeros((models, dim))
 
@@ -301,10 +302,11 @@ def drift(df: DataFrame, id_col: str, load: str, rules: dict[str, Column], skip:
                 for c in range(n_cols + 1):
                     s = total - part[:, c - 1] if c else total
                     p = np.minimum((bins / (1 + np.exp(-np.clip(s, -30, 30)))).astype(np.int64), bins - 1)
-                    np.add.at(tally.setdefault((k, c), np.zeros(2 * bins, np.int64)), 2 * p + y.astype(np.int64), 1)
+                    now = np.bincount(2 * p + y.astype(np.int64), minlength=2 * bins)
+                    tally[k, c] = tally[k, c] + now if (k, c) in tally else now
             for (k, c), t in tally.items():
                 at = np.flatnonzero(t)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), v, np.int32)) for v in (k, c)] + [pa.array((at // 2).astype(np.int32)), pa.array((at % 2).astype(np.int32)), pa.array(t[at])], ["k", "c", "bin", "side", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), v, np.int32)) for v in (k, c)] + [pa.array((at // 2).astype(np.int32)), pa.array((at % 2).astype(np.int32)), pa.array(t[at].astype(np.int64))], ["k", "c", "bin", "side", "n"])
 
     hist = base.select("load", "fold", "f").mapInArrow(score, "k int, c int, bin int, side int, n bigint")
     hist = hist.groupBy("k", "c", "bin").agg(F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("side") == 1, F.col("n")).otherwise(0)).alias("n1"))
