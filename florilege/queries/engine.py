@@ -225,11 +225,26 @@ def entity_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quotes(_pages(c, "c_custkey", line, "== Quotes ==\n", "c_custkey")).select("page_id", "text", "language", "language_from")
 
 
+def interwiki(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sister-project links of the pages' templates."""
+    none = F.array().cast(f"array<{schema.TEMPLATE}>")
+    pages = table(spark, sf_dir, "wiki_pages").where("title is not null")
+    named = F.transform(F.filter(F.coalesce("templates", none), lambda t: t.isNotNull()), lambda t: F.struct(F.lower(t["name"]).alias("name"), F.coalesce(t["params"], F.array().cast(schema.PARAMS)).alias("params"), t["wikitext"].alias("wikitext")))
+    found = pages.select("page_id", "revision_id", "load_no", F.explode(rules.interwiki_of(named, F.col("title"))).alias("i"))
+    return found.groupBy("page_id", "revision_id", "i.site", F.col("i.title").alias("target")).agg(F.count("*").alias("n"))
+
+
+def occasions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The occasion that each typed citation names, and the date in it, over all distinct occasions."""
+    o = table(spark, sf_dir, "sources").where("occasion is not null").groupBy("occasion").agg(F.count("*").alias("n"))
+    return o.select("occasion", "n", citation.read_occasion(F.col("occasion")).alias("kind"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         dialogue_turns, dialogue_joined, quote_with_citation_date, heading_period_only, section_roles, source_hints, page_types, cast_join, status_matrix, speaker_about, cite_templates, links, redirects,
-        isbn_locators_occasion, content_groups, report_coverage, report_counts, top_headings, line_islands, redirect_titles, parquet_round_trip, json_round_trip, document_quotes, document_blocks, entity_decode,
+        isbn_locators_occasion, content_groups, report_coverage, report_counts, top_headings, line_islands, redirect_titles, parquet_round_trip, json_round_trip, document_quotes, document_blocks, entity_decode, interwiki, occasions,
     )
 }
 
@@ -247,6 +262,19 @@ _ROLE = """CASE
 _HEADINGS = "SELECT unnest(context_path) AS heading FROM quotes"
 
 SQL = {
+    "interwiki": """
+        WITH t AS (SELECT page_id, revision_id, title, unnest(templates) AS t FROM wiki_pages WHERE title IS NOT NULL),
+        s AS (SELECT *, lower(t.name) AS name, list_filter(coalesce(t.params, []), lambda p: p.key = '1')[1].value AS one FROM t WHERE t IS NOT NULL),
+        k AS (SELECT *, CASE WHEN name IN ('wikipedia', 'wikipediapar') THEN 'wikipedia' WHEN name IN ('wikisource', 'wikisource author') THEN 'wikisource' WHEN name = 'wiktionary' THEN 'wiktionary'
+                WHEN name IN ('commons', 'commonscat', 'commons category', 'commons cat') THEN 'commons' END AS site FROM s)
+        SELECT page_id, revision_id, site, coalesce(nullif(one, ''), title) AS target, count(*) AS n FROM k WHERE site IS NOT NULL GROUP BY ALL""",
+    "occasions": """
+        SELECT occasion, count(*) AS n, CASE WHEN contains(l, 'press conference') OR contains(l, 'news conference') THEN 'press conference' WHEN contains(l, 'address to') OR contains(l, 'address at') THEN 'speech'
+          WHEN contains(l, 'blog post') OR contains(l, 'facebook post') THEN 'post' WHEN regexp_matches(l, '(^|[^\\pL\\pN])letters?($|[^\\pL\\pN])') THEN 'letter'
+          WHEN regexp_matches(l, '(^|[^\\pL\\pN])interview($|[^\\pL\\pN])') THEN 'interview' WHEN regexp_matches(l, '(^|[^\\pL\\pN])speech($|[^\\pL\\pN])') THEN 'speech' WHEN regexp_matches(l, '(^|[^\\pL\\pN])lecture($|[^\\pL\\pN])') THEN 'lecture'
+          WHEN regexp_matches(l, '(^|[^\\pL\\pN])sermon($|[^\\pL\\pN])') THEN 'sermon' WHEN regexp_matches(l, '(^|[^\\pL\\pN])testimony($|[^\\pL\\pN])') THEN 'testimony' WHEN regexp_matches(l, '(^|[^\\pL\\pN])diary($|[^\\pL\\pN])') THEN 'diary'
+          WHEN regexp_matches(l, '(^|[^\\pL\\pN])essay($|[^\\pL\\pN])') THEN 'essay' WHEN regexp_matches(l, '(^|[^\\pL\\pN])editorial($|[^\\pL\\pN])') THEN 'editorial' WHEN regexp_matches(l, '(^|[^\\pL\\pN])tweet($|[^\\pL\\pN])') THEN 'post' END AS kind
+        FROM (SELECT occasion, lower(occasion) AS l FROM sources WHERE occasion IS NOT NULL) GROUP BY ALL""",
     "dialogue_turns": """
         SELECT o_custkey AS page_id, o_orderpriority AS speaker, 'character' AS speaker_kind, 'order ' || o_orderkey AS text,
                '''''''' || o_orderpriority || ''''''': order ' || o_orderkey AS wikitext, 'dialogue_marker' AS speaker_from FROM orders""",
