@@ -23,7 +23,7 @@ from florilege.session import written
 MISSING = [
     "n/a", "n.a", "na", "n/k", "nil", "null", "none", "nan", "not given", "not available", "not applicable", "not known", "not stated",
     "not specified", "unspecified", "unknown", "undefined", "missing", "no data", "no title", "no name", "untitled", "tbd", "tba",
-    "tbc", "to be determined", "to be announced", "xxx", "xx", "x", "citation needed", "source needed", "who", "which",
+    "tbc", "to be determined", "to be announced", "xxx", "citation needed", "source needed",
     "empty", "blank", "no value", "keine angabe", "k.a", "unbekannt", "inconnu", "desconocido", "s.n", "s.t",
 ]
 
