@@ -87,6 +87,22 @@ def allowed(word: str) -> int:
     return 0 if len(word) < 3 else 1 if len(word) < 6 else 2
 
 
+def _shorter(word: str) -> set[str]:
+    """The word and what is left of it without one or two letters: words of at most two slips have one of these in common."""
+    once = {word[:i] + word[i + 1 :] for i in range(len(word))}
+    return {word} | once | {w[:i] + w[i + 1 :] for w in once for i in range(len(w))}
+
+
+def _letters(text: str) -> int:
+    """The letters of a text as bits; a slip changes two at most."""
+    bits = 0
+    for c in set(text):
+        bits |= 1 << (ord(c) & 63)
+    return bits
+
+
+#: Words of the list up to this length are looked up by ``_shorter``, longer ones are compared one by one.
+_INDEXED = 24
 #: Cost of a slip that made another word of the list.
 _OTHER_WORD = 10
 
@@ -126,12 +142,32 @@ class Canon:
         self.weight = {t: 0.1 if t in STOP else math.log(1 + len(self.tokens) / k) for t, k in df.items()}
         self.rare = math.log(1 + len(self.tokens) / 1.5) if self.tokens else 0.0  # between words of one and of two entries
         self.vocabulary = {t for t in df if len(t) > 2}
-        self.by_start: dict[str, list[str]] = defaultdict(list)
-        self.grams: dict[str, set[int]] = defaultdict(set)
-        for ref, n in self.forms.items():
-            for g in self._grams(n):
-                self.grams[g].add(ref)
         self.squeezed = {ref: _seen(self._core(n).replace(" ", "")) for ref, n in self.forms.items()}
+        self.shorter: dict[str, set[str]] = defaultdict(set)
+        self.long: dict[int, set[str]] = defaultdict(set)
+        self.full: dict[str, set[str]] = defaultdict(set)
+        for t in df:
+            for form in {t, _seen(t)}:
+                if len(form) > _INDEXED:
+                    self.long[len(form)].add(t)
+                else:
+                    for x in _shorter(form):
+                        self.shorter[x].add(t)
+            for x in SHORT.get(t, ()):
+                self.full[x].add(t)
+        # each entry stands under its rarest word, those of small words only under their trigrams
+        self.content = {ref: {t for t in ts if t not in STOP} for ref, ts in self.tokens.items()}
+        self.under: dict[str, list[int]] = defaultdict(list)
+        self.small: dict[str, set[int]] = defaultdict(set)
+        self.joined: dict[frozenset[str], dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        for ref, content in self.content.items():
+            if content:
+                self.under[min(content, key=lambda t: (df[t], t))].append(ref)
+            for g in () if content else self._grams(self.forms[ref]):
+                self.small[g].add(ref)
+            b = self.squeezed[ref]
+            self.joined[frozenset(AROUND.intersection(self.tokens[ref]))][len(b)].append((_letters(b), ref))
+        self.near: dict[str, frozenset[str]] = {}
 
     @staticmethod
     def _core(n: str) -> str:
@@ -218,17 +254,51 @@ class Canon:
 
     def _similar(self, n: str) -> int:
         """By token sets: every word of the entry must be there but for slips, and what is left must be words that
-        go around entries."""
-        votes: Counter[int] = Counter()
-        grams = self._grams(n)
-        for g in grams:
-            votes.update(self.grams.get(g, ()))
-        best: tuple[float, int] | None = None
-        for ref, _ in votes.most_common(12):
+        go around entries. Of entries of equal cost the one with most of the
+        value's words counts ("Volume II" is part of some entries and goes around others), then the lowest ref_id."""
+        words = set(n.split())
+        best: tuple[float, int, int] | None = None
+        for ref in self._possible(n):
             cost = self._cost(n, ref)
-            if cost is not None and (best is None or (cost, ref) < best):
-                best = (cost, ref)
-        return best[1] if best else 0
+            if cost is not None:
+                key = (cost, -len(words.intersection(self.tokens[ref])), ref)
+                best = min(best, key) if best else key
+        return best[2] if best else 0
+
+    def _possible(self, n: str) -> set[int]:
+        """All entries that ``_cost`` may accept, whatever their number: those of which every word that isn't small is
+        there but for slips, those that run together are as long and of the same letters but for two slips, and those of small words only that share a trigram."""
+        words = n.split()
+        there = set().union(*map(self._near, set(words)))
+        out = {ref for t in there for ref in self.under.get(t, ()) if self.content[ref] <= there}
+        if self.small:
+            out.update(*(self.small.get(g, ()) for g in self._grams(n)))
+        around = AROUND.intersection(words)
+        made: dict[frozenset[str], tuple[int, int]] = {}
+        for kept, lengths in self.joined.items():
+            kept &= around
+            if kept not in made:
+                a = _seen(self._core(" ".join(w for w in words if w not in AROUND or w in kept)).replace(" ", ""))
+                made[kept] = len(a), _letters(a)
+            size, bits = made[kept]
+            for k in range(max(size - 2, 7), size + 3):
+                out.update(ref for x, ref in lengths.get(k, ()) if (x ^ bits).bit_count() <= 4)
+        return out
+
+    def _near(self, word: str) -> frozenset[str]:
+        """The words of the list that ``word`` may stand for: at least all for which ``_slip`` gives a number."""
+        found = self.near.get(word)
+        if found is None:
+            near = set(self.full.get(word, ()))
+            for form in {word, _seen(word)}:
+                if len(form) <= _INDEXED + 2:
+                    near.update(*(self.shorter.get(x, ()) for x in _shorter(form)))
+                for k in range(len(form) - 2, len(form) + 3):
+                    near.update(self.long.get(k, ()))
+            found = frozenset(t for t in near if t == word or self._slip(word, t) is not None)
+            if len(self.near) < 200_000:
+                self.near[word] = found
+        return found
 
     def _cost(self, n: str, ref: int) -> float | None:
         target = self.tokens[ref]

@@ -125,3 +125,12 @@ def test_canon(spark, rows):
     assert {r["ref_id"] for r in map_values(df, "source_id", fields, canon.limit(0)).collect()} == {0}
     with pytest.raises(ValueError):
         map_values(df, "source_id", fields, canon, max_entries=3)
+
+
+def test_canon_scores_every_possible_entry():
+    # longer entries share more trigrams with the slipped value than its own entry does
+    crowd = [f"The Wonder of {w} for Roger" for w in "Ardmore Balcombe Cadmoor Dunwell Elsgate Farnholm Gridley Hartwick Ivesham Jarrow Kelby Lindow Marsham Norcott Oakley".split()]
+    canon = Canon([*enumerate(crowd, 1), (90, "The Worn Forge"), (91, "The Worn Forge, Volume II"), (92, "Sky")])
+    assert canon.match("the wonr froge") == 90
+    assert canon.match("The Worn Frge, Volume II") == 91 and canon.match("The Worn Frge, Volume V") == 90
+    assert canon.match("the won derof ardmor forroger") == 1 and canon.match("The Worn") == 0
