@@ -157,8 +157,8 @@ def given_match(a: str, b: str) -> int:
     return FULL if any(_close(x, y, 0.75) for x in fa for y in fb if not (x in KNOWN and y in KNOWN)) else NONE
 
 
-#: Given names known as such; a job adds those that are frequent in its own rows.
-KNOWN = {f for s in _FORMAL.values() for f in s} | DISTINCT
+#: Given names known as such, by the fixed tables only: others that differ by a slip inside a family are taken for one.
+KNOWN = frozenset(f for s in _FORMAL.values() for f in s) | DISTINCT
 
 
 def match(a: Name, b: Name) -> int:
@@ -225,7 +225,7 @@ def _keys(text: str, shortest: int) -> Iterator[tuple[str, str, list[str]]]:
                 yield f, t, others
 
 
-def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shortest: int = 4, common: int = 60, discard: int = 5_000, established: int = 5, block: int = 1_000) -> DataFrame:
+def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shortest: int = 4, common: int = 60, discard: int = 5_000, block: int = 1_000) -> DataFrame:
     """(field, id_1, id_2), id_1 < id_2: rows whose names in a field are different strings for one person or organisation.
 
     ``fields`` maps a column to a condition (SQL) on the rows it is read from, or None. Fields aren't compared with
@@ -238,7 +238,6 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
     refined key is given up, unless it is a whole token; variants that share nothing more than such a key meet over a third name or not at all.
     The shortest suffix that isn't common stands for all longer ones of the token.
     """
-    spark = df.sparkSession
     parts = []
     for field, condition in fields.items():
         rows = df.where(condition) if condition else df
@@ -259,15 +258,6 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
                             o.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string())))], ["field", "v", "name", "suffix", "whole", "others"])
 
-    def givens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [n for n in map(parse, b.column(0).to_pylist()) if n and n.given and len(n.given[0]) > 2]
-            yield pa.RecordBatch.from_arrays([pa.array([n.given[0] for n in found], pa.string()), pa.array([n.family for n in found], pa.string())], ["g", "f"])
-
-    # given names of several families are names of their own; the list is bounded by limit, the rest goes by the tables above
-    known = values.select("name").mapInArrow(givens, "g string, f string").groupBy("g").agg(F.count_distinct("f").alias("n")).where(F.col("n") >= established)
-    known = spark.sparkContext.broadcast([r[0] for r in known.orderBy(F.desc("n"), "g").limit(5_000).collect()])
-
     suffixes = written(values.select("field", "name", "v").mapInArrow(index, "field string, v bigint, name string, suffix string, whole boolean, others array<string>"), "suffixes")
     size = suffixes.groupBy("field", "suffix").agg(F.count_distinct("v").alias("n"))
     marked = salted_join(suffixes, size, ["field", "suffix"], "v")
@@ -291,7 +281,6 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
     pairs = spread(pairs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        KNOWN.update(known.value)
         for b in batches:
             n1, n2 = b.column(2).to_pylist(), b.column(4).to_pylist()
             how = [match(x, y) if (x := parse(s)) and (y := parse(t)) else NONE for s, t in zip(n1, n2)]
@@ -299,7 +288,6 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
             yield found.filter(pa.array([h > NONE for h in how]))
 
     def compare_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        KNOWN.update(known.value)
         for b in batches:
             sure = b.column(3).to_pylist()
             keep = [(related if ok else match)(parse(x), parse(y)) for x, y, ok in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), sure)]

@@ -134,3 +134,11 @@ def test_canon_scores_every_possible_entry():
     assert canon.match("the wonr froge") == 90
     assert canon.match("The Worn Frge, Volume II") == 91 and canon.match("The Worn Frge, Volume V") == 90
     assert canon.match("the won derof ardmor forroger") == 1 and canon.match("The Worn") == 0
+
+
+def test_known_given_names_are_fixed():
+    # what counts as a given name of its own doesn't depend on what a job has read: no worker changes a copy of the set
+    from florilege.llm import names
+
+    assert isinstance(names.KNOWN, frozenset)
+    assert match(parse("Nora Balsotecki"), parse("Dora Balsotecki")) == NONE and match(parse("Tavinor Balsotecki"), parse("Tavinol Balsotecki")) == FULL
