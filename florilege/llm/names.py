@@ -212,16 +212,22 @@ def related(a: Name, b: Name) -> bool:
 
 
 def _keys(text: str, shortest: int) -> Iterator[tuple[str, str, list[str]]]:
-    """(token, ..., beginnings of the other tokens) of each token of a name that is long enough."""
+    """(token, ..., beginnings of the other tokens, one that is empty where there are none) of each token of a name that is long enough.
+    Short ones only count where names may have nothing else in common: as a family name, or as a given name in its place."""
     n = parse(text)
     if n is None:
         return
     tokens = list(dict.fromkeys(n.words or (*n.family.split(), *n.given)))
     forms = {t: {t} | (set(_formal(t)) if t in n.given else set()) for t in tokens}
+    least = min(3, shortest)
+    family = n.words or n.family.split()
+    short = set() if any(len(t) >= least for t in family) else set(family)
+    if len(n.given) == 1 and len(n.given[0]) > 1:
+        short.add(n.given[0])
     for t in tokens:
-        others = sorted({o[:k] for u in tokens if u != t for o in forms[u] for k in (1, 2)})
+        others = sorted({o[:k] for u in tokens if u != t for o in forms[u] for k in (1, 2)}) or [""]
         for f in sorted(forms[t]):
-            if len(f) >= min(3, shortest):
+            if len(f) >= least or f == t and t in short:
                 yield f, t, others
 
 
@@ -233,7 +239,8 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
     paired. Rows with a null id are left out. Extra columns and an empty table do no harm.
 
     Blocking: each token of ``shortest`` letters or more is indexed by its suffixes. A suffix that more than ``common``
-    distinct names have is first refined with the beginnings (one and two letters) of the name's other tokens. A name with several other tokens stands under each.
+    distinct names have is first refined with the beginnings (one and two letters) of the name's other tokens. A name with several other tokens stands under each, a name of one token under an empty beginning.
+    A family name of fewer than three letters, and a given name that may stand in its place, are indexed whole.
     A refined key of more than ``block`` names is cut into blocks that are compared pair by pair, so no task gets a hot one. Only beyond ``discard`` names a
     refined key is given up, unless it is a whole token; variants that share nothing more than such a key meet over a third name or not at all.
     The shortest suffix that isn't common stands for all longer ones of the token.

@@ -142,3 +142,13 @@ def test_known_given_names_are_fixed():
 
     assert isinstance(names.KNOWN, frozenset)
     assert match(parse("Nora Balsotecki"), parse("Dora Balsotecki")) == NONE and match(parse("Tavinor Balsotecki"), parse("Tavinol Balsotecki")) == FULL
+
+
+def test_names_of_one_or_of_short_tokens(spark, rows):
+    # more names than ``common`` hold the token; no token of three letters
+    names = ["Mr. Smith", "SMITH", "Smith", "Carl Smith", "Nora Smith", "Li Wu", "Wu, Li", "A. Xu", "Albert Xu", "Li W.", "De Wu", "J. B.", "B, J"]
+    df = spark.createDataFrame(list(enumerate(names, 1)), "agent_id bigint, name string")
+    for common in (1, 60):
+        got = {r[1:] for r in rows(linked_names(df, "agent_id", {"name": None}, common=common))}
+        assert {(1, 2), (1, 3), (2, 3), (6, 7), (8, 9), (12, 13)} <= got
+        assert got == {(i, j) for i, a in enumerate(names, 1) for j, b in enumerate(names, 1) if i < j and match(parse(a), parse(b))}
