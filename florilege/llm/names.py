@@ -231,7 +231,33 @@ def _keys(text: str, shortest: int) -> Iterator[tuple[str, str, list[str]]]:
                 yield f, t, others
 
 
-def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shortest: int = 4, common: int = 60, discard: int = 5_000, block: int = 1_000) -> DataFrame:
+def _keyed(values: DataFrame, shortest: int, common: int) -> DataFrame:
+    """(key, field, v, name): all keys under which names are compared, as ``linked_names`` says."""
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: tuple[list, ...] = ([], [], [], [], [], [])
+            for field, name, v in zip(*(c.to_pylist() for c in b.columns)):
+                for token, source, others in _keys(name, shortest):
+                    for size in range(min(shortest, len(token)), len(token) + 1):
+                        for o, x in zip(out, (field, v, name, token[-size:], size == len(token), others)):
+                            o.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string())))], ["field", "v", "name", "suffix", "whole", "others"])
+
+    suffixes = written(values.select("field", "name", "v").mapInArrow(index, "field string, v bigint, name string, suffix string, whole boolean, others array<string>"), "suffixes")
+    size = suffixes.groupBy("field", "suffix").agg(F.count_distinct("v").alias("n"))
+    marked = salted_join(suffixes, size, ["field", "suffix"], "v")
+    good = marked.where(F.col("n") <= common)
+    shortest_good = Window.partitionBy("field", "v", "token").orderBy(F.length("suffix"))
+    # a token's suffixes end alike, so its last letters tell it apart within the name well enough
+    good = good.withColumn("token", F.substring("suffix", -shortest, shortest)).withColumn("k", F.row_number().over(shortest_good)).where("k = 1")
+    plain_keys = good.select(F.concat_ws("|", "field", "suffix").alias("key"), "field", "v", "name")
+    refined = marked.where((F.col("n") > common) & ((F.length("suffix") == shortest) | F.col("whole"))).select("field", "v", "name", "suffix", F.explode("others").alias("o"))
+    refined = refined.select(F.concat_ws("|", "field", "suffix", "o").alias("key"), "field", "v", "name")
+    return plain_keys.unionByName(refined).distinct()
+
+
+def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shortest: int = 4, common: int = 60, block: int = 1_000) -> DataFrame:
     """(field, id_1, id_2), id_1 < id_2: rows whose names in a field are different strings for one person or organisation.
 
     ``fields`` maps a column to a condition (SQL) on the rows it is read from, or None. Fields aren't compared with
@@ -241,8 +267,8 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
     Blocking: each token of ``shortest`` letters or more is indexed by its suffixes. A suffix that more than ``common``
     distinct names have is first refined with the beginnings (one and two letters) of the name's other tokens. A name with several other tokens stands under each, a name of one token under an empty beginning.
     A family name of fewer than three letters, and a given name that may stand in its place, are indexed whole.
-    A refined key of more than ``block`` names is cut into blocks that are compared pair by pair, so no task gets a hot one. Only beyond ``discard`` names a
-    refined key is given up, unless it is a whole token; variants that share nothing more than such a key meet over a third name or not at all.
+    A refined key of more than ``block`` names is cut into blocks that are compared pair by pair, so no task gets a hot one; none is given up, so
+    the comparisons grow with the square of the names that share a suffix and a beginning.
     The shortest suffix that isn't common stands for all longer ones of the token.
     """
     parts = []
@@ -255,30 +281,7 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
     rows = rows.where("id is not null and name is not null")
     values = written(rows.groupBy("field", "name").agg(F.min("id").alias("v")), "names")
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for field, name, v in zip(*(c.to_pylist() for c in b.columns)):
-                for token, source, others in _keys(name, shortest):
-                    for size in range(min(shortest, len(token)), len(token) + 1):
-                        for o, x in zip(out, (field, v, name, token[-size:], size == len(token), others)):
-                            o.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.string())))], ["field", "v", "name", "suffix", "whole", "others"])
-
-    suffixes = written(values.select("field", "name", "v").mapInArrow(index, "field string, v bigint, name string, suffix string, whole boolean, others array<string>"), "suffixes")
-    size = suffixes.groupBy("field", "suffix").agg(F.count_distinct("v").alias("n"))
-    marked = salted_join(suffixes, size, ["field", "suffix"], "v")
-    good = marked.where(F.col("n") <= common)
-    shortest_good = Window.partitionBy("field", "v", "token").orderBy(F.length("suffix"))
-    # a token's suffixes end alike, so its last letters tell it apart within the name well enough
-    good = good.withColumn("token", F.substring("suffix", -shortest, shortest)).withColumn("k", F.row_number().over(shortest_good)).where("k = 1")
-    plain_keys = good.select(F.concat_ws("|", "field", "suffix").alias("key"), "field", "v", "name")
-    refined = marked.where((F.col("n") > common) & ((F.length("suffix") == shortest) | F.col("whole"))).select("field", "v", "name", "suffix", "whole", F.explode("others").alias("o"))
-    refined = refined.select(F.concat_ws("|", "field", "suffix", "o").alias("key"), "field", "v", "name", "whole")
-    weight = refined.groupBy("key").agg(F.count_distinct("v").alias("n"))
-    refined = salted_join(refined, weight, ["key"], "v").where((F.col("n") <= discard) | F.col("whole")).select("key", "field", "v", "name")
-    keyed = plain_keys.unionByName(refined).distinct()
-
+    keyed = _keyed(values, shortest, common)
     counts = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
     cut = salted_join(keyed, counts, ["key"], "v").withColumn("x", F.pmod(F.xxhash64(F.lit(3), "v"), F.col("blocks")).cast("int"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"))

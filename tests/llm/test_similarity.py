@@ -152,3 +152,14 @@ def test_names_of_one_or_of_short_tokens(spark, rows):
         got = {r[1:] for r in rows(linked_names(df, "agent_id", {"name": None}, common=common))}
         assert {(1, 2), (1, 3), (2, 3), (6, 7), (8, 9), (12, 13)} <= got
         assert got == {(i, j) for i, a in enumerate(names, 1) for j, b in enumerate(names, 1) if i < j and match(parse(a), parse(b))}
+
+
+def test_hot_name_keys_are_kept(spark):
+    # 5,040 names share the end of the family name and the initial, and the two that belong together share no more
+    from florilege.llm.names import _keyed
+
+    names = ["C. Whittfield", "Caroline Whitfield", *(f"C. {a}{b}{c}atfield" for a in "bdfghjklmnprstvwxz" for b in "aeiou" for c in "abcdefghijklmnopqrstuvwxyz"), *(f"C. {a}{b}{c}{d}atfield" for a in "bdfghj" for b in "aeiou" for c in "bdfghjklmnprst" for d in "aeiouy"), *(f"C. Q{n:04d}tfield" for n in range(180))]
+    keys = _keyed(spark.createDataFrame([("name", n, i) for i, n in enumerate(names)], "field string, name string, v bigint"), 4, 60)
+    assert len(set(names)) > 5_000
+    shared = keys.where("v < 2").groupBy("key").count().where("count = 2").select("key")
+    assert [(r["key"], r["count"]) for r in keys.join(shared, "key").groupBy("key").count().collect()] == [("name|ield|c", len(set(names)))]
