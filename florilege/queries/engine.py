@@ -219,6 +219,21 @@ def document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer1.parse_pages(docs).groupBy("page_id", "block_type").agg(F.count("*").alias("n"), F.sum("error_nodes").alias("error_nodes"))
 
 
+def document_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's headings over all documents: sections whose heading means neither a role nor a hint."""
+    docs = table(spark, sf_dir, "documents").select(F.coalesce("page_title", F.lit("")).alias("title"), F.col("doc_id").alias("page_id"), F.lit(1).alias("revision_id"), F.col("fetched_at").cast("string").alias("timestamp"), "text")
+    return report.top_headings(report.headings(layer1.parse_pages(docs)))
+
+
+def document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's page side over all documents: a row per page type, and one over all (page_type null, ``overall`` 1)."""
+    docs = table(spark, sf_dir, "documents").select(F.coalesce("page_title", F.lit("")).alias("title"), F.col("doc_id").alias("page_id"), F.lit(1).alias("revision_id"), F.col("fetched_at").cast("string").alias("timestamp"), "text")
+    pages = written(layer1.typed_pages(layer1.parse_pages(docs), docs), "pages")
+    over_all = report.parse_totals(pages)
+    by_type = report.counts_by(pages, "page_type").select(F.lit(0).alias("overall"), "page_type", F.col("n").alias("pages"))
+    return by_type.unionByName(over_all.select(F.lit(1).alias("overall"), F.lit(None).cast("string").alias("page_type"), "*"), allowMissingColumns=True)
+
+
 def entity_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     line = F.concat(F.lit("* "), F.col("c_mktsegment"), F.lit(" &amp; &#65;&#x42; &nosuch; <small>small</small><br/>next<!-- gone --><ref>note</ref> <nowiki>''raw''</nowiki> {{nbsp}}{{lang|fr|mot "), F.col("c_nationkey").cast("string"), F.lit("}}"))
@@ -244,7 +259,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dialogue_turns, dialogue_joined, quote_with_citation_date, heading_period_only, section_roles, source_hints, page_types, cast_join, status_matrix, speaker_about, cite_templates, links, redirects,
-        isbn_locators_occasion, content_groups, report_coverage, report_counts, top_headings, line_islands, redirect_titles, parquet_round_trip, json_round_trip, document_quotes, document_blocks, entity_decode, interwiki, occasions,
+        isbn_locators_occasion, content_groups, report_coverage, report_counts, top_headings, line_islands, redirect_titles, parquet_round_trip, json_round_trip, document_quotes, document_blocks, document_headings, document_totals, entity_decode, interwiki, occasions,
     )
 }
 

@@ -114,3 +114,13 @@ def test_dump_pipeline_and_stream(spark, tmp_path):
     assert dump.resolve(spark.createDataFrame([("B",), ("Z",)], "t string"), "t", dump.redirects(pages)).orderBy("t").collect()[0]["resolved"] == "A"
     ingest(spark, str(folder), at("stream"), shared_path(spark, "stream")).awaitTermination()
     assert spark.read.parquet(at("stream")).where("block_type = 'list_item'").count() == 1
+
+
+def test_report_queries_over_documents(spark, tmp_path):
+    from florilege.queries import engine
+
+    text = "== Odd ==\n* one\n* two\n=== 1912 ===\n* three\n=== Act II ===\n* four\n== Quotes ==\n* five\n[[Category:1999 films]]"
+    spark.sql("select id as doc_id, 'P' as page_title, current_timestamp() as fetched_at, t as text from values (1, :a), (2, :b) as v(id, t)", {"a": text, "b": "== Odd ==\n"}).write.parquet(str(tmp_path / "documents.parquet"))
+    assert [tuple(r) for r in engine.QUERIES["document_headings"](spark, str(tmp_path)).collect()] == [("Odd", 2)]
+    got = {(r["overall"], r["page_type"]): (r["pages"], r["source_lines"]) for r in engine.QUERIES["document_totals"](spark, str(tmp_path)).collect()}
+    assert got[1, None] == (2, 11) and got[0, "film"] == (1, None) and len(got) == 3
