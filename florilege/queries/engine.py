@@ -164,7 +164,7 @@ def content_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.coverage(table(spark, sf_dir, "quotes").where("page_type is not null"))
+    return report.coverage(table(spark, sf_dir, "quotes"))
 
 
 def report_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

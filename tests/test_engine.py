@@ -124,3 +124,12 @@ def test_report_queries_over_documents(spark, tmp_path):
     assert [tuple(r) for r in engine.QUERIES["document_headings"](spark, str(tmp_path)).collect()] == [("Odd", 2)]
     got = {(r["overall"], r["page_type"]): (r["pages"], r["source_lines"]) for r in engine.QUERIES["document_totals"](spark, str(tmp_path)).collect()}
     assert got[1, None] == (2, 11) and got[0, "film"] == (1, None) and len(got) == 3
+
+
+def test_coverage_counts_quotes_without_page_type(spark, tmp_path):
+    from florilege.queries import engine
+
+    row = "named_struct('name', 'A') as speaker, named_struct('raw', 'r', 'complete', true, 'work_title', 'w', 'date_iso', '1901') as source, named_struct('unparsed_annotations', 1) as provenance"
+    spark.sql(f"select explode(array('film', null, 'film')) as page_type, {row}").write.parquet(str(tmp_path / "quotes.parquet"))
+    got = {(r["overall"], r["page_type"]): r["quotes"] for r in engine.report_coverage(spark, str(tmp_path)).collect()}
+    assert got == {(0, "film"): 2, (0, None): 1, (1, None): 3}
