@@ -37,7 +37,7 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sizes = written(encode(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary(), only_count=True), "sizes")
     caps = table(spark, sf_dir, "pack_capacity").groupBy("capacity_id").agg(F.max("capacity_tokens").alias("c"))
-    return pack_items(sizes, "doc_id", "n_tokens", [(r[0], r[1]) for r in caps.limit(1000).collect()])
+    return pack_items(sizes, "doc_id", "n_tokens", [(r[0], r[1]) for r in caps.collect()])
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

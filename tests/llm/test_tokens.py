@@ -82,3 +82,12 @@ def test_pack(spark):
         assert max(room.values()) <= cap and sorted(room) == list(range(len(room)))
         assert len(room) <= 1.15 * sum(n or 0 for _, n in data) / cap + 1
     assert {x["capacity_id"] for x in got} == {1, 2} and pack_items(df.limit(0), "doc_id", "n", [(1, 9)]).count() == 0 and pack_items(df, "doc_id", "n", []).count() == 0
+
+
+def test_every_capacity_is_filled(spark, tmp_path, monkeypatch):
+    from florilege.llm import queries
+
+    spark.createDataFrame([(1, "a word")], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(1, 1202).selectExpr("id as capacity_id", "id + 10 as capacity_tokens").write.parquet(str(tmp_path / "pack_capacity.parquet"))
+    monkeypatch.setattr(queries, "pack_items", lambda sizes, id_col, size_col, capacities: capacities)
+    assert sorted(queries.p9_containers(spark, str(tmp_path))) == [(i, i + 10) for i in range(1, 1202)]
