@@ -47,33 +47,43 @@ def _date(iso: Column, precision: str, raw: Column, end: Column | None = None) -
     return F.struct(iso.alias("iso"), (end if end is not None else F.lit(None).cast("string")).alias("end"), F.lit(precision).alias("precision"), raw.alias("raw"))
 
 
+#: Every month's name begins with one of these; a word that doesn't is no month.
+_MONTH_BEGINS = "|".join(m[:3] for m in MONTHS)
+
+
 def read_date(text: Column) -> Column:
     """struct<iso, end, precision, raw> of the first form that fits, in order of trust; null if none does."""
     return F.when(text.rlike(r"\p{Nd}"), let(text, _date_in))
 
 
 def _date_in(text: Column) -> Column:
-    g = lambda p, i: F.regexp_extract(text, p, i)
-    whole, low = trim_u(text), F.lower(text)
+    low = F.lower(text)
     bracket = text.contains("(") | text.contains("[")
     years = text.rlike(r"\p{Nd}{3}")
-    dmy, mdy, my = month_number(g(DAY_MONTH_YEAR, 2)), month_number(g(MONTH_DAY_YEAR, 1)), month_number(g(MONTH_YEAR, 1))
-    day = lambda p, y, m, d: F.concat_ws("-", _pad(g(p, y), 4), _pad(m, 2), _pad(g(p, d), 2))
-    return (
-        F.when((low.contains("bc") | low.contains("b.c")) & text.rlike(BCE), _date(F.concat(F.lit("-"), _pad(g(BCE, 1), 4)), "year", trim_u(g(BCE, 0))))
-        .when(bracket & text.rlike(RANGE), _date(g(RANGE, 1), "range", g(RANGE, 0), g(RANGE, 2)))
-        .when(years & text.rlike(DAY_MONTH_YEAR) & dmy.isNotNull(), _date(day(DAY_MONTH_YEAR, 3, dmy, 1), "day", trim_u(g(DAY_MONTH_YEAR, 0))))
-        .when(years & text.rlike(MONTH_DAY_YEAR) & mdy.isNotNull(), _date(day(MONTH_DAY_YEAR, 3, mdy, 2), "day", trim_u(g(MONTH_DAY_YEAR, 0))))
-        .when(years & text.rlike(MONTH_YEAR) & my.isNotNull(), _date(F.concat_ws("-", _pad(g(MONTH_YEAR, 2), 4), _pad(my, 2)), "month", trim_u(g(MONTH_YEAR, 0))))
-        .when(years & low.contains("c") & text.rlike(CIRCA), _date(_pad(g(CIRCA, 1), 4), "circa", trim_u(g(CIRCA, 0))))
-        .when(bracket & text.rlike(BRACKET_YEAR), _date(_pad(g(BRACKET_YEAR, 1), 4), "year", g(BRACKET_YEAR, 1)))
-        .when(whole.rlike(r"\A(?:[0-9]{4}|\+[0-9]{3})\z"), _date(_pad(F.regexp_replace(whole, r"^\+", ""), 4), "year", whole))
+    months = years & low.rlike(_MONTH_BEGINS)
+    # each pattern is looked for once; its groups are read from what it found
+    found = lambda guard, p, body: F.when(guard, let(F.regexp_substr(text, F.lit(p)), lambda m: F.when(m.isNotNull(), body(m, lambda i: F.regexp_extract(m, p, i)))))
+
+    def dated(p: str, y: int, mon: int, d: int | None = None) -> Column:
+        parts = lambda g, m: [_pad(g(y), 4), _pad(m, 2)] + ([_pad(g(d), 2)] if d else [])
+        return found(months, p, lambda m, g: let(month_number(g(mon)), lambda n: F.when(n.isNotNull(), _date(F.concat_ws("-", *parts(g, n)), "day" if d else "month", trim_u(m)))))
+
+    return F.coalesce(
+        found(low.contains("bc") | low.contains("b.c"), BCE, lambda m, g: _date(F.concat(F.lit("-"), _pad(g(1), 4)), "year", trim_u(m))),
+        found(bracket, RANGE, lambda m, g: _date(g(1), "range", m, g(2))),
+        dated(DAY_MONTH_YEAR, 3, 2, 1),
+        dated(MONTH_DAY_YEAR, 3, 1, 2),
+        dated(MONTH_YEAR, 2, 1),
+        found(years & low.contains("c"), CIRCA, lambda m, g: _date(_pad(g(1), 4), "circa", trim_u(m))),
+        found(bracket, BRACKET_YEAR, lambda m, g: _date(_pad(g(1), 4), "year", g(1))),
+        let(trim_u(text), lambda whole: F.when(whole.rlike(r"\A(?:[0-9]{4}|\+[0-9]{3})\z"), _date(_pad(F.regexp_replace(whole, r"^\+", ""), 4), "year", whole))),
     )
 
 
 def before_retrieval(text: Column) -> Column:
     """The text up to where it begins to tell when it was looked up."""
     low = F.lower(text)
+    # Words that introduce when or where a text was looked up.
     ends = [F.nullif(F.locate(w, low), F.lit(0)) for w in ("retrieved", "accessed", "archived", "as reported in")]
     cut = F.least(*ends)
     return F.when(cut.isNull(), text).otherwise(F.substring(text, F.lit(1), cut - 1))
@@ -100,7 +110,7 @@ def isbn(text: Column) -> Column:
 
 
 def _word(text: Column, word: str) -> Column:
-    return text.rlike(rf"(?<![\p{{IsAlphabetic}}\p{{N}}]){word}(?![\p{{IsAlphabetic}}\p{{N}}])")
+    return text.contains(word) & text.rlike(rf"(?<![\p{{IsAlphabetic}}\p{{N}}]){word}(?![\p{{IsAlphabetic}}\p{{N}}])")
 
 
 def read_occasion(text: Column) -> Column:

@@ -50,8 +50,9 @@ _MONTH = _month_table()
 _DAY = r"(?P<d>\d{1,2})(?:st|nd|rd|th|er|\.|º|ª)?"
 _MON = r"(?P<mon>[^\W\d_]{3,})\.?"
 _WEEKDAY = r"(?:[^\W\d_]{2,}\.?,?\s+)?"
-_TIME = r"(?P<H>\d{1,2})[:h.](?P<M>\d{2})(?::(?P<S>\d{2})(?:[.,]\d+)?)?\s*(?P<ap>[ap]\.?\s?m\.?)?(?:\s*(?:uhr|hrs?|hours)\b)?"
-_ZONE = r"(?:\s*\(?\s*(?P<z>[a-z]{1,5}(?![a-z]))?\s*(?P<off>[+-]\d{1,2}:?(?:\d{2})?)?\s*\)?)"
+_AMPM = r"[ap]\.?\s?m\.?"
+_TIME = rf"(?P<H>\d{{1,2}})(?:[:h.](?P<M>\d{{2}})(?::(?P<S>\d{{2}})(?:[.,]\d+)?)?\s*(?P<ap>{_AMPM})?|\s?(?P<ap2>{_AMPM}))(?:\s*(?:uhr|hrs?|hours)\b)?"
+_ZONE = r"(?:\s*\(?\s*(?:(?P<iana>[a-z]+(?:/[a-z_]+){1,2})|(?P<z>[a-z]{1,5}(?![a-z]))?\s*(?P<off>[+-]\d{1,2}:?(?:\d{2})?)?)\s*\)?)"
 _CLOCK = rf"(?:(?:\s*,|\s+at|\s+um|\s+a las|\s+à|t)?\s*{_TIME}{_ZONE})?"
 _FORMS = [
     re.compile(p, re.IGNORECASE)
@@ -61,6 +62,7 @@ _FORMS = [
         rf"{_WEEKDAY}(?:on\s+)?{_MON}\s+{_DAY}\s*,?\s+(?P<y>\d{{4}}){_CLOCK}",
         rf"{_TIME}{_ZONE}\s*,?\s+{_DAY}\s+{_MON}\s+(?P<y>\d{{4}})(?:\s*\(?(?P<z2>[a-z]{{1,5}})?(?P<off2>[+-]\d{{1,2}}:?(?:\d{{2}})?)?\)?)",
         rf"(?P<a>\d{{1,2}})(?P<sep>[-/.])(?P<b>\d{{1,2}})(?P=sep)(?P<y>\d{{4}}){_CLOCK}",
+        rf"(?P<y>\d{{4}})(?P<m>\d{{2}})(?P<d>\d{{2}}) (?P<H>\d{{2}})(?P<M>\d{{2}})(?P<S>\d{{2}})?(?:[.,]\d+)?{_ZONE}",
     )
 ]
 _LEAD = r"(?:(?:in|en|im|from|the|year|anno|since|the year)\s+)?"
@@ -119,8 +121,8 @@ def _offset(text: str | None) -> int | None:
 
 
 def _with_clock(day: date, g: dict[str, str | None], zone: str | None) -> str | None:
-    hour, minute, second = int(g["H"]), int(g["M"]), int(g["S"] or 0)
-    if ap := g.get("ap"):
+    hour, minute, second = int(g["H"]), int(g["M"] or 0), int(g["S"] or 0)
+    if ap := g.get("ap") or g.get("ap2"):
         if not 1 <= hour <= 12:
             return None
         hour = hour % 12 + (12 if ap[0] in "pP" else 0)
@@ -144,7 +146,7 @@ def _with_clock(day: date, g: dict[str, str | None], zone: str | None) -> str |
             minutes = known + (minutes or 0)
         if minutes is not None:
             return _instant(moment - timedelta(minutes=minutes))
-        return local_to_utc(moment, zone)
+        return local_to_utc(moment, g.get("iana") or zone)
     except OverflowError:
         return None
 
@@ -197,7 +199,7 @@ def normal_date(text: str | None, month_first: bool = False, zone: str | None =
     while len(t) > 2 and (t[0], t[-1]) in (("(", ")"), ("[", "]")) and not any(c in t[1:-1] for c in "()[]"):
         t = t[1:-1].strip()
     t = t.rstrip(",").strip()
-    if not t or len(t) > 200:
+    if not t:
         return None
     if t.isascii() and t.isdigit():
         return _digits(t)

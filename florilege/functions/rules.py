@@ -44,10 +44,11 @@ def season_number(folded: Column) -> Column:
 
 def role_of(heading: Column) -> Column:
     """One of sixteen roles; the first rule that fits."""
-    return let(_folded(heading), _role)
+    return let(_folded(heading), lambda h: _role(h, trim_u(heading)))
 
 
-def _role(h: Column) -> Column:
+def _role(h: Column, heading: Column) -> Column:
+    # Words of headings and the roles they mean. A single letter counts only without a colon.
     has = h.contains
     return _first(
         (has("misattributed"), "misattributed"),
@@ -64,7 +65,7 @@ def _role(h: Column) -> Column:
         (h.isin("see also", "related"), "see_also"),
         (h.startswith("external link") | h.startswith("other project"), "external_links"),
         (h.isin("references", "notes", "footnotes", "citations"), "references"),
-        (h.rlike(r"\A[\p{IsAlphabetic}\p{N}]\z"), "alpha_bucket"),
+        (heading.rlike(r"\A[\p{IsAlphabetic}\p{N}]\z"), "alpha_bucket"),
     ).otherwise("other")
 
 
@@ -130,6 +131,7 @@ def page_type(categories: Column, templates: Column, title: Column) -> Column:
         return F.get(F.filter(low, test), 0)
 
     last_word = lambda c: F.substring_index(F.regexp_replace(trim_u(c), r"\s+", " "), " ", -1)
+    # Templates and categories, in order of their rules.
     rules = [
         ("disambiguation", "template", by_template("disambig", "disambiguation", "hndis")),
         ("placeholder", "template", by_template("year page placeholder")),
@@ -160,6 +162,7 @@ def annotation_kind(rt: Column) -> Column:
         rt["spans"],
         lambda s: ((s["kind"] == "template") & (s["name"].startswith("cite") | (s["name"] == "citation"))) | ((s["kind"] == "external_link") & (s["url"] != "")),
     )
+    # Labels of annotations.
     return (
         F.when(starts("translation", "translated", "transliteration", "meaning", "literally"), "translation")
         .when(starts("compare", "variant", "see also"), "cross_ref")

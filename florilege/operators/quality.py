@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,12 +38,13 @@ def missing_sign(c: Column) -> Column:
     return core.isin(MISSING) | ~c.rlike(r"[\p{L}\p{N}]")
 
 
-# Patterns of markup, entities, control and mis-decoded characters, web and mail addresses.
-_MARKUP = r"\[\[|\]\]|\{\{|\}\}|''|<!--|-->|</?[A-Za-z][^<>]{0,1000}>|<[A-Za-z]+\s*/?$|^=++[^=]++=+$|\{\||\|\}|__[A-Z]+__|\[https?:"
-_ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]{1,31}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
+# Patterns of markup, entities, control and mis-decoded characters, web and mail addresses. A repeated part
+# never goes past the character that may start a match, so long texts cost their length.
+_MARKUP = r"\[\[|\]\]|\{\{|\}\}|''|<!--|-->|</?[A-Za-z][^<>]*>|<[A-Za-z]+\s*/?$|^=++[^=]++=+$|\{\||\|\}|__[A-Z]+__|\[https?:"
+_ENTITY = r"&(?:[A-Za-z][A-Za-z0-9]+|#[0-9]+|#[xX][0-9A-Fa-f]+);"
 _CONTROL = r"[\p{Cc}\x{FFFD}\x{FEFF}\x{FFFE}\x{FFFF}\p{Co}]"
 _MISDECODED = r"[\x{C2}\x{C3}][\x{80}-\x{BF}\x{152}\x{153}\x{160}\x{161}\x{178}\x{17D}\x{17E}\x{192}\x{2C6}\x{2DC}\x{2013}-\x{2022}\x{2026}\x{2030}\x{2039}\x{203A}\x{20AC}\x{2122}]|\x{E2}\x{20AC}|\x{EF}\x{BB}\x{BF}|\x{EF}\x{BF}\x{BD}"
-_ADDRESS = r"(?i)\b[a-z][a-z0-9+.-]{0,30}://\S|\bwww\.[^\s.]{1,200}\.\S|\bmailto:|[^\s@<>()]@[^\s@<>()]{1,250}\.[a-z]{2}"
+_ADDRESS = r"(?i)[a-z0-9]://\S|\bwww\.[^\s.]+\.\S|\bmailto:|[^\s@<>()]@[^\s@<>()]+\.[a-z]{2}"
 
 
 def unfit_label(c: Column) -> Column:
@@ -114,43 +116,76 @@ def unfit(df: DataFrame, id_col: str, rules: dict[str, Column]) -> DataFrame:
     return df.select(F.col(id_col), F.explode(unfit_rules(df, rules)).alias("field"))
 
 
+def _ranges(df: DataFrame, load: str, columns: list[tuple[str, Column]]) -> DataFrame:
+    """(_c, _l, lo, hi, xlo, xhi): least and greatest value of each column (texts by bytes, numbers by value) and load.
+
+    Batches are reduced as columns: an aggregate of texts over rows would first sort all rows by load."""
+
+    names = [n for n, _ in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple] = {}
+        kind = None
+        for b in batches:
+            loads = b.column(0)
+            kind = loads.type
+            for k in pc.unique(loads).to_pylist():
+                part = b.filter(pc.is_null(loads) if k is None else pc.equal(loads, pa.scalar(k, kind)))
+                for c in range(len(names)):
+                    lo, hi = pc.min_max(part.column(c + 1)).as_py().values()
+                    if lo is not None:
+                        old = held.get((c, k), (lo, hi))
+                        held[c, k] = min(lo, old[0]), max(hi, old[1])
+        if held:
+            texts = [(None, None) if isinstance(lo, float) else (lo, hi) for lo, hi in held.values()]
+            numbers = [(lo, hi) if isinstance(lo, float) else (None, None) for lo, hi in held.values()]
+            out = [pa.array([names[c] for c, _ in held]), pa.array([k for _, k in held], kind)]
+            out += [pa.array([t[i] for t in texts], pa.string()) for i in (0, 1)] + [pa.array([x[i] for x in numbers], pa.float64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(out, ["_c", "_l", "lo", "hi", "xlo", "xhi"])
+
+    src = df.select(F.col(load), *[c.alias(f"c{i}") for i, (_, c) in enumerate(columns)])
+    found = src.mapInArrow(run, f"_c string, _l {src.schema[0].dataType.simpleString()}, lo string, hi string, xlo double, xhi double")
+    return found.groupBy("_c", "_l").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("xlo").alias("xlo"), F.max("xhi").alias("xhi"))
+
+
+#: Bytes up to which a value stands for itself; longer ones are told apart by a digest.
+_DIGEST = 16
+
+
 def profile(df: DataFrame, load: str, rules: dict[str, Column]) -> DataFrame:
     """Exact aggregates of every column and load.
 
     Columns: column, load, n_rows, n_null, null_rate, n_distinct, min_value, max_value, n_unfit. Structs are opened; arrays
-    count as their JSON text. Values over 64 bytes are told apart by a 128-bit digest; ranges are of the whole texts
+    count as their JSON text. Values over 16 bytes are told apart by a 128-bit digest; ranges are of the whole texts
     (numbers by value for numeric columns). Null loads are a load of their own; an empty table gives no rows.
 
-    The table is melted to (column, load, value) and aggregated twice: a value that a third of all rows have is summed
-    up before it is shuffled, and no (column, load) is ever gathered.
+    The table is read twice. Melted to (column, load, value or digest) it is aggregated twice: a value that a third of all rows have is summed
+    up before it is shuffled, and no (column, load) is ever gathered. Whole texts go into the ranges only: two a column, load and task reach the shuffle.
     """
     cols = [(n, k) for n, k in leaves(df.schema) if _shown(n) != load]
-    items = []
-    for name, kind in cols:
+    # texts are made once, as columns of their own
+    broken = {n: F.coalesce(rules[n], F.lit(False)) for n in (_shown(n) for n, _ in cols) if n in rules}
+    texts = df.select(F.col(load).alias("load"), *[_text(n, k).alias(f"t{i}") for i, (n, k) in enumerate(cols)], *[c.alias(f"bad {n}") for n, c in broken.items()])
+    items, ranges = [], []
+    for i, (name, kind) in enumerate(cols):
         number = isinstance(kind, T.NumericType)
-        text = _text(name, kind)
-        rule = rules.get(_shown(name))
+        text = F.col(f"t{i}")
         items.append(
             F.struct(
-                F.lit(_shown(name)).alias("column"),
-                F.when(F.octet_length(text) > 64, F.md5(text)).otherwise(text).alias("v"),
-                # the text itself goes along only where a digest stands for it
-                F.when(F.lit(not number) & (F.octet_length(text) > 64), text).alias("t"),
-                (F.col(name).cast("double") if number else F.lit(None).cast("double")).alias("x"),
-                (F.coalesce(rule, F.lit(False)) if rule is not None else F.lit(False)).cast("int").alias("bad"),
+                F.lit(i).alias("c"),
+                F.when(F.octet_length(text) > _DIGEST, F.unhex(F.md5(text))).otherwise(text.cast("binary")).alias("v"),
+                (F.col(f"`bad {_shown(name)}`").cast("int") if _shown(name) in broken else F.lit(0)).alias("bad"),
             )
         )
-    melted = df.select(F.col(load).alias("load"), F.explode(F.array(*items)).alias("i")).select("load", "i.*")
-    values = melted.groupBy("column", "load", "v").agg(
-        F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"), F.min("x").alias("xlo"), F.max("x").alias("xhi"), F.sum("bad").alias("bad")
+        ranges.append((_shown(name), F.col(name).cast("double") if number else _text(name, kind)))
+    melted = texts.select("load", F.explode(F.array(*items)).alias("i")).select(F.col("i.c").alias("column"), "load", "i.v", "i.bad")
+    values = melted.groupBy("column", "load", "v").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    counts = values.groupBy("column", "load").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("n_null"), F.count("v").alias("n_distinct"), F.sum("bad").alias("n_unfit")
     )
-    out = values.groupBy("column", "load").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
-        F.count("v").alias("n_distinct"),
-        F.min(F.coalesce("lo", "v")).alias("lo"), F.max(F.coalesce("hi", "v")).alias("hi"), F.min("xlo").alias("xlo"), F.max("xhi").alias("xhi"),
-        F.sum("bad").alias("n_unfit"),
-    )
+    counts = counts.withColumn("column", F.element_at(F.array(*[F.lit(_shown(n)) for n, _ in cols]), F.col("column") + 1))
+    extent = _ranges(df, load, ranges)
+    out = counts.join(extent, (F.col("column") == F.col("_c")) & F.col("load").eqNullSafe(F.col("_l")), "left")
     as_text = lambda x: F.when(x == F.floor(x), F.floor(x).cast("long").cast("string")).otherwise(x.cast("string"))
     return out.select(
         F.col("column"), F.col("load"), "n_rows", "n_null",

@@ -14,6 +14,7 @@ from florilege.functions.hashing import content_key, hash16, quote_key
 from florilege.functions.text import let, trim_u
 from florilege.session import written
 
+
 def _none() -> Column:
     return F.lit(None).cast("string")
 
@@ -58,13 +59,21 @@ def _reading(rt: Column) -> Column:
     )
 
 
-_WORK = "struct<title:string,site:string,link:string>"
+_FOLD = "struct<title:string,site:string,link:string,episode:string,series:string>"
+
 
+def _is(x: Column, kind: str) -> Column:
+    return F.coalesce(x["hint"]["kind"] == kind, F.lit(False))
 
-def _work(acc: Column, r: Column) -> Column:
-    """Title and link after the part: italics first, then links and templates in their order (a link is the work's if it
-    leads to Wikisource or shows the title known by then)."""
-    start = F.struct(F.coalesce(r["italic"], acc["work_title"]).alias("title"), acc["work_link_site"].alias("site"), acc["work_link_title"].alias("link")).cast(_WORK)
+
+def _titles(acc: Column, x: Column, on_work_page: Column) -> Column:
+    """Titles and link after a part. Each step needs what was known before: the heading's own title, then italics, then links
+    and templates in their order (a link is the work's if it leads to Wikisource or shows the title known by then)."""
+    h, r = x["hint"], x["r"]
+    title = F.when(_is(x, "work"), h["title"]).otherwise(acc["title"])
+    episode = F.when(_is(x, "episode"), h["title"]).otherwise(acc["episode"])
+    series = F.when(on_work_page & h.isNotNull() & episode.isNotNull(), title).otherwise(acc["series"])
+    start = F.struct(F.coalesce(r["italic"], title).alias("title"), acc["site"].alias("site"), acc["link"].alias("link"), episode.alias("episode"), series.alias("series")).cast(_FOLD)
 
     def step(w: Column, s: Column) -> Column:
         own = (s["kind"] == "link") & ((s["site"] == "wikisource") | F.coalesce(trim_u(s["shown"]) == w["title"], F.lit(False)))
@@ -72,7 +81,8 @@ def _work(acc: Column, r: Column) -> Column:
             F.coalesce(F.when(s["kind"] == "template", c.filled(s, "title")), w["title"]).alias("title"),
             F.when(own, s["site"]).otherwise(w["site"]).alias("site"),
             F.when(own, s["title"]).otherwise(w["link"]).alias("link"),
-        ).cast(_WORK)
+            w["episode"].alias("episode"), w["series"].alias("series"),
+        ).cast(_FOLD)
 
     return F.aggregate(r["marks"], start, step)
 
@@ -80,52 +90,62 @@ def _work(acc: Column, r: Column) -> Column:
 _ACC = "struct<" + ",".join(f"{k}:{t}" for k, t in schema.SOURCE_FIELDS.items()) + f",cites:array<{schema.CITE}>>"
 
 
-def _merge(acc: Column, x: Column, on_work_page: Column) -> Column:
-    """One part into the source: first what its heading means, then what its text says. Later parts win."""
-    h, r = x["hint"], x["r"]
-    is_ = lambda kind: F.coalesce(h["kind"] == kind, F.lit(False))
-    period, season_code = is_("period"), F.get(F.split(h["code"], r"\."), 0)
-    season_of = F.when(season_code.rlike(r"\A\+?[0-9]{1,5}\z"), season_code.try_cast("int"))
+def _last(parts: Column, value: Callable[[Column], Column]) -> Column:
+    """The value of the last part that has one."""
+    return F.try_element_at(F.filter(F.transform(parts, value), lambda v: v.isNotNull()), F.lit(-1))
+
+
+def _last_of(parts: Column, test: Callable[[Column], Column]) -> Column:
+    return F.try_element_at(F.filter(parts, test), F.lit(-1))
+
+
+def _dates(parts: Column) -> dict[str, Column]:
+    """The last date that a text names; what headings say fills what is unset, the first of them and only those after that text."""
     year4 = lambda n: F.format_string("%04d", n)
-    own = {k: acc[k] for k in schema.SOURCE_FIELDS}
-    own["work_title"] = F.when(is_("work"), h["title"]).otherwise(acc["work_title"])
-    work_year = is_("work") & h["year"].isNotNull()
-    own["work_year"] = F.when(work_year, h["year"]).otherwise(acc["work_year"])
-    new_iso = F.when(work_year, year4(h["year"])).when(period, year4(h["from"]))
-    own["date_iso"] = F.coalesce(acc["date_iso"], new_iso)
-    own["date_end_iso"] = F.coalesce(acc["date_end_iso"], F.when(period & (h["from"] != h["to"]), year4(h["to"])))
-    own["date_precision"] = F.coalesce(acc["date_precision"], F.when(work_year | (period & (h["from"] == h["to"])), "year").when(period, "decade"))
-    own["episode_title"] = F.when(is_("episode"), h["title"]).otherwise(acc["episode_title"])
-    own["episode_number"] = F.when(is_("episode"), h["code"]).otherwise(acc["episode_number"])
-    own["episode_season"] = F.when(is_("episode") & h["code"].isNotNull(), season_of).when(is_("season"), h["number"]).otherwise(acc["episode_season"])
-    for field, place in (("locator_chapter", "chapter"), ("locator_act_scene", "act_scene"), ("locator_part", "part")):
-        own[field] = F.when(is_("locator") & (h["place"] == place), h["value"]).otherwise(acc[field])
-    own["episode_series"] = F.when(on_work_page & h.isNotNull() & own["episode_title"].isNotNull(), own["work_title"]).otherwise(acc["episode_series"])
-    hinted = F.struct(*[own[k].cast(t).alias(k) for k, t in schema.SOURCE_FIELDS.items()])
-    return let(hinted, lambda o: let(_work(o, r), lambda work: _read_part(acc, o, work, r)))
-
-
-def _read_part(acc: Column, o: Column, work: Column, r: Column) -> Column:
-    """What the text of a part says, over what was known before it."""
-    own = {k: o[k] for k in schema.SOURCE_FIELDS}
-    dated = r["date"].isNotNull()
-    for field, key in (("date_iso", "iso"), ("date_end_iso", "end"), ("date_precision", "precision"), ("date_raw", "raw")):
-        own[field] = F.when(dated, r["date"][key]).otherwise(own[field])
-    for field, key in (
-        ("locator_page", "page"), ("locator_chapter", "chapter"), ("locator_part", "part"), ("locator_act_scene", "act"), ("locator_line", "line"),
-        ("isbn", "isbn"), ("url", "url"), ("publication", "publication"), ("publisher", "publisher"), ("work_type", "work_type"), ("occasion", "occasion"),
-    ):
-        own[field] = F.coalesce(r[key], own[field])
-    own["work_title"], own["work_link_site"], own["work_link_title"] = work["title"], work["site"], work["link"]
-    return F.struct(*[own[k].alias(k) for k in schema.SOURCE_FIELDS], F.concat(acc["cites"], r["cites"]).alias("cites")).cast(_ACC)
+    at = F.array_max(F.transform(parts, lambda x, i: F.when(x["r"]["date"].isNotNull(), i + 1)))
+    said = F.try_element_at(parts, at)["r"]["date"]
+    after = F.filter(F.slice(parts, F.coalesce(at, F.lit(0)) + 1, F.size(parts)), lambda x: _is(x, "period") | (_is(x, "work") & x["hint"]["year"].isNotNull()))
+    one = lambda x: _is(x, "work") | (x["hint"]["from"] == x["hint"]["to"])
+    first = F.get(after, 0)
+    ends = F.transform(F.filter(after, lambda x: ~one(x)), lambda x: year4(x["hint"]["to"]))
+    return {
+        "date_iso": F.coalesce(said["iso"], F.when(first.isNotNull(), year4(F.coalesce(first["hint"]["year"], first["hint"]["from"])))),
+        "date_end_iso": F.coalesce(said["end"], F.get(ends, 0)),
+        "date_precision": F.coalesce(said["precision"], F.when(first.isNotNull(), F.when(one(first), "year").otherwise("decade"))),
+        "date_raw": said["raw"],
+    }
 
 
 def _source(parts: Column, work_page: Column, title: Column, page_type: Column) -> Column:
-    """The assembled source, null where there is nothing to assemble it from. ``parts``: array of (origin, level, hint name, raw, hint, r)."""
-    start = {k: F.lit(None) for k in schema.SOURCE_FIELDS}
-    start |= {"work_title": F.when(work_page, title), "work_type": F.when(work_page, rules.work_type_of(page_type)), "work_link_site": F.when(work_page, "wikiquote"), "work_link_title": F.when(work_page, title)}
-    zero = F.struct(*[start[k].cast(t).alias(k) for k, t in schema.SOURCE_FIELDS.items()], F.array().cast(f"array<{schema.CITE}>").alias("cites")).cast(_ACC)
-    return F.aggregate(parts, zero, lambda acc, x: _merge(acc, x, work_page))
+    """The assembled source; later parts win. ``parts``: array of (origin, level, hint name, raw, hint, r).
+
+    Only titles and the link depend on the order of steps and are folded; every other field is that of the last part that has it, or of
+    the last heading of a kind (an episode's title and code also where they are null)."""
+    zero = F.struct(F.when(work_page, title).alias("title"), F.when(work_page, "wikiquote").alias("site"), F.when(work_page, title).alias("link"), F.lit(None).alias("episode"), F.lit(None).alias("series")).cast(_FOLD)
+    place = lambda x, name: F.when(_is(x, "locator") & (x["hint"]["place"] == name), x["hint"]["value"])
+
+    def season_of(x: Column) -> Column:
+        code = F.get(F.split(x["hint"]["code"], r"\."), 0)
+        return F.when(_is(x, "season"), x["hint"]["number"]).when(code.rlike(r"\A\+?[0-9]{1,5}\z"), code.try_cast("int"))
+
+    def of(folded: Column) -> Column:
+        read = lambda key: lambda x: x["r"][key]
+        located = lambda key, name: lambda x: F.coalesce(x["r"][key], place(x, name))
+        own = {k: _last(parts, read(key)) for k, key in (
+            ("work_type", "work_type"), ("locator_page", "page"), ("locator_line", "line"), ("publication", "publication"), ("publisher", "publisher"), ("isbn", "isbn"), ("url", "url"), ("occasion", "occasion"),
+        )}
+        own["work_type"] = F.coalesce(own["work_type"], F.when(work_page, rules.work_type_of(page_type)))
+        for k, key, name in (("locator_chapter", "chapter", "chapter"), ("locator_part", "part", "part"), ("locator_act_scene", "act", "act_scene")):
+            own[k] = _last(parts, located(key, name))
+        own |= _dates(parts)
+        own["work_year"] = _last(parts, lambda x: F.when(_is(x, "work"), x["hint"]["year"]))
+        own["episode_number"] = _last_of(parts, lambda x: _is(x, "episode"))["hint"]["code"]
+        own["episode_season"] = season_of(_last_of(parts, lambda x: _is(x, "season") | (_is(x, "episode") & x["hint"]["code"].isNotNull())))
+        own |= {"work_title": folded["title"], "work_link_site": folded["site"], "work_link_title": folded["link"], "episode_title": folded["episode"], "episode_series": folded["series"]}
+        cites = F.flatten(F.transform(parts, lambda x: x["r"]["cites"]))
+        return F.struct(*[own[k].alias(k) for k in schema.SOURCE_FIELDS], cites.alias("cites")).cast(_ACC)
+
+    return let(F.aggregate(parts, zero, lambda acc, x: _titles(acc, x, work_page)), of)
 
 
 def _links(spans: Column) -> Column:

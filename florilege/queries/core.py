@@ -10,7 +10,7 @@ from florilege.operators.quality import drift, profile, unfit, unfit_date, unfit
 from florilege.operators.skew import distinct_per_key
 from florilege.operators.timestamps import normalise_dates
 from florilege.queries.core_sql import SQL as SQL
-from florilege.session import table
+from florilege.session import spread_few, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,11 +47,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile(table(spark, sf_dir, "quotes"), "load_no", _present(_quote_rules())).withColumnRenamed("load", "load_no")
+    return profile(spread_few(table(spark, sf_dir, "quotes")), "load_no", _present(_quote_rules())).withColumnRenamed("load", "load_no")
 
 
 def p5_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = table(spark, sf_dir, "quotes")
+    quotes = spread_few(table(spark, sf_dir, "quotes"))
     return drift(quotes, "quote_no", "load_no", _present(_quote_rules()), skip=["quote_no", "loaded_at"])
 
 

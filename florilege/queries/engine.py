@@ -10,7 +10,7 @@ from florilege import schema
 from florilege.functions import citation, rules
 from florilege.functions.text import collapse_ws
 from florilege.plans import layer1, layer2, report
-from florilege.session import shared_path, table, written
+from florilege.session import shared_path, spread_few, table, written
 from florilege.sources import dump, files
 
 
@@ -23,7 +23,7 @@ def _pages(rows: DataFrame, key: str, line: Column, head: str | Column, order: s
 
 
 def _quotes(pages: DataFrame) -> DataFrame:
-    return layer2.quotes(written(layer1.parse_pages(pages), "blocks"))
+    return layer2.quotes(written(layer1.parse_pages(pages, evenly=True), "blocks"))
 
 
 def _dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +152,8 @@ def isbn_locators_occasion(spark: SparkSession, sf_dir: str) -> DataFrame:
     what = F.when(F.col("l_returnflag") == "R", "Letter to the editor").when(F.col("l_returnflag") == "A", "Press conference").otherwise("Notes")
     text = F.concat(what, F.format_string(", vol. %d, ch. %d, pp. %d–%d, lines %d-%d, ISBN %09d. Retrieved 1 May 2020", "l_linenumber", F.col("l_orderkey") % 40 + 1, F.col("l_partkey") % 90 + 1, F.col("l_partkey") % 90 + 9, "l_linenumber", F.col("l_linenumber") + 3, F.col("l_suppkey") + 100000000))
     c = F.col("t")
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.alias("t")).select(
+    made = spread_few(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text.alias("t"))
+    return made.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", citation.locator(c, citation.PART).alias("part"), citation.locator(c, citation.CHAPTER).alias("chapter"), citation.locator(c, citation.PAGE).alias("page"), citation.locator(c, citation.LINE).alias("line"),
         citation.isbn(c).alias("isbn"), citation.read_occasion(c).alias("occasion"), citation.read_date(citation.before_retrieval(c))["iso"].alias("date_iso"),
     )
@@ -216,19 +217,19 @@ def document_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.coalesce("page_title", F.lit("")).alias("title"), F.col("doc_id").alias("page_id"), F.lit(1).alias("revision_id"), F.col("fetched_at").cast("string").alias("timestamp"), "text")
-    return layer1.parse_pages(docs).groupBy("page_id", "block_type").agg(F.count("*").alias("n"), F.sum("error_nodes").alias("error_nodes"))
+    return layer1.parse_pages(docs, evenly=True).groupBy("page_id", "block_type").agg(F.count("*").alias("n"), F.sum("error_nodes").alias("error_nodes"))
 
 
 def document_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report's headings over all documents: sections whose heading means neither a role nor a hint."""
     docs = table(spark, sf_dir, "documents").select(F.coalesce("page_title", F.lit("")).alias("title"), F.col("doc_id").alias("page_id"), F.lit(1).alias("revision_id"), F.col("fetched_at").cast("string").alias("timestamp"), "text")
-    return report.top_headings(report.headings(layer1.parse_pages(docs)))
+    return report.top_headings(report.headings(layer1.parse_pages(docs, evenly=True)))
 
 
 def document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report's page side over all documents: a row per page type, and one over all (page_type null, ``overall`` 1)."""
     docs = table(spark, sf_dir, "documents").select(F.coalesce("page_title", F.lit("")).alias("title"), F.col("doc_id").alias("page_id"), F.lit(1).alias("revision_id"), F.col("fetched_at").cast("string").alias("timestamp"), "text")
-    pages = written(layer1.typed_pages(layer1.parse_pages(docs), docs), "pages")
+    pages = written(layer1.typed_pages(layer1.parse_pages(docs, evenly=True), docs), "pages")
     over_all = report.parse_totals(pages)
     by_type = report.counts_by(pages, "page_type").select(F.lit(0).alias("overall"), "page_type", F.col("n").alias("pages"))
     return by_type.unionByName(over_all.select(F.lit(1).alias("overall"), F.lit(None).cast("string").alias("page_type"), "*"), allowMissingColumns=True)
@@ -272,7 +273,7 @@ _ROLE = """CASE
     WHEN h IN ('song lyrics', 'lyrics', 'songs') THEN 'song_lyrics' WHEN ends_with(h, 'cast') OR h = 'cast members' THEN 'cast'
     WHEN h IN ('episodes', 'seasons') OR regexp_full_match(h, '(season|series) ([0-9]+|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve)') THEN 'episodes'
     WHEN h IN ('see also', 'related') THEN 'see_also' WHEN starts_with(h, 'external link') OR starts_with(h, 'other project') THEN 'external_links'
-    WHEN h IN ('references', 'notes', 'footnotes', 'citations') THEN 'references' WHEN regexp_full_match(h, '[a-z0-9]') THEN 'alpha_bucket'
+    WHEN h IN ('references', 'notes', 'footnotes', 'citations') THEN 'references' WHEN regexp_full_match(trim(heading), '[\\pL\\pN]') THEN 'alpha_bucket'
     ELSE 'other' END"""
 _HEADINGS = "SELECT unnest(context_path) AS heading FROM quotes"
 
@@ -350,7 +351,7 @@ SQL = {
         SELECT p_partkey AS page_id, trim(p_name) AS work_title, 'book' AS work_type, p_brand AS publisher, (p_size + 1900)::varchar AS date_iso, 'Ann ' || replace(p_type, ' ', '_') AS speaker, 5 AS n_params FROM part""",
     "links": """
         SELECT c_custkey AS page_id, 'See ' || c_name || ' and Plain_page' AS text, pos, CASE pos WHEN 0 THEN 'wikipedia' ELSE 'wikiquote' END AS site, CASE pos WHEN 0 THEN 'de' ELSE 'en' END AS lang,
-          CASE pos WHEN 0 THEN 'Land ' || c_nationkey ELSE 'Plain page' END AS title, CASE pos WHEN 0 THEN 'Seg ' || c_mktsegment END AS fragment FROM customer, (VALUES (0), (1)) AS v(pos)""",
+          CASE pos WHEN 0 THEN 'Land ' || c_nationkey ELSE 'Plain_page' END AS title, CASE pos WHEN 0 THEN 'Seg ' || c_mktsegment END AS fragment FROM customer, (VALUES (0), (1)) AS v(pos)""",
     "redirects": """
         SELECT 'Order ' || o_orderkey AS title, CASE WHEN o_orderkey % 2 = 1 THEN 'Customer ' || o_custkey END AS redirect_to, CASE WHEN o_orderkey % 2 = 0 THEN '* a & b <ref>' || o_orderpriority || '</ref>' END AS text
         FROM orders WHERE o_orderkey % 5 <> 0""",
@@ -363,7 +364,7 @@ SQL = {
         FROM quotes WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "report_coverage": """
         WITH f AS (SELECT page_type, speaker.name IS NOT NULL AS a, source.raw IS NOT NULL AS b, coalesce(source.complete, false) AS c, source.work_title IS NOT NULL AS d, source.date_iso IS NOT NULL AS e,
-                     coalesce(provenance.unparsed_annotations, 0) AS u FROM quotes WHERE page_type IS NOT NULL),
+                     coalesce(provenance.unparsed_annotations, 0) AS u FROM quotes),
         g AS (SELECT page_type, grouping(page_type)::int AS overall, count(*) AS quotes, count_if(a)::bigint AS with_speaker, count_if(b)::bigint AS with_source, count_if(c)::bigint AS complete, count_if(d)::bigint AS with_work,
                 count_if(e)::bigint AS with_date, sum(u)::bigint AS unparsed_annotations FROM f GROUP BY GROUPING SETS ((page_type), ()))
         SELECT *, round(1000.0 * with_speaker / quotes) / 10 AS speaker_share, round(1000.0 * with_source / quotes) / 10 AS source_share, round(1000.0 * complete / quotes) / 10 AS complete_share,

@@ -8,12 +8,15 @@ import tempfile
 import uuid
 import zipfile
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
+from pyspark.errors import utils as errors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[tuple[SparkSession, str]] = []
 _shipped: set[str] = set()
+_path_of: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +34,15 @@ def put_file(spark: SparkSession, uri: str, data: bytes) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once an application, so that workers can import it wherever they run."""
+    """Sends this package to the executors, once an application, so that workers can import it wherever they run.
+
+    Also turns off PySpark's record of the call site of every column expression: for plans of thousands of them it
+    costs more of the driver than all else."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    if hasattr(errors, "_enable_debugging_cache"):  # the setting, spark.python.sql.dataFrameDebugging.enabled, is a static one
+        errors._enable_debugging_cache = False
     here = Path(__file__).parent
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
@@ -47,10 +55,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``. Only where that is unset (tests, a
-    single machine) a temporary folder is made and set for the session."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Only on one machine (a local master: tests) may it
+    be unset; then a temporary folder is made and set for the session. On a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="florilege-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -65,12 +75,15 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _remove_written() -> None:
     for spark, path in _written:
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _remove(spark, path)
         except Exception:  # the session is gone; the cluster's own clean-up has to do
             return
 
@@ -80,7 +93,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table_ = spark.read.schema(df.schema).parquet(path)
+    _path_of[table_] = path
+    return table_
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables made by ``written`` whose last reader has been written itself."""
+    for t in tables:
+        if path := _path_of.pop(t, None):
+            _written.remove((t.sparkSession, path))
+            _remove(t.sparkSession, path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -91,12 +114,35 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
-def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread: str, how: str = "inner", salts: int = 16) -> DataFrame:
-    """Equi-join in which a hot key of ``big`` goes to ``salts`` tasks: ``small`` (one row per key) is repeated
-    once per salt, ``big`` takes the salt from a hash of the column ``spread``. ``how``: inner, left, left_semi."""
-    salt = "_salt"
-    b = big.withColumn(salt, F.pmod(F.xxhash64(F.lit(17), spread), F.lit(salts)).cast("int"))
-    s = small.withColumn(salt, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+def spread_few(df: DataFrame) -> DataFrame:
+    """``df`` spread over the cluster if it has fewer partitions than there are cores (one row group is one task). For
+    scans: counting the partitions of a frame with a shuffle would run it."""
+    return spread(df) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
+
+
+#: A key with more rows than this share of all, and than this number, is hot.
+_HOT_SHARE, _HOT_ROWS = 1_000, 10_000
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str = "n") -> list[int]:
+    """Digests of the keys that hold more than a thousandth of all rows: fewer than 1,000, whatever the size of the data.
+    ``counts`` has a row per key and its number of rows in ``n``; it should be a written table."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    if total <= _HOT_ROWS:
+        return []
+    rows = counts.where(F.col(n) > max(_HOT_ROWS, total / _HOT_SHARE)).select(F.xxhash64(*keys)).collect()
+    return [r[0] for r in rows]
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], spread: str, hot: list[int], how: str = "inner", salts: int = 32) -> DataFrame:
+    """Equi-join in which the ``hot`` keys (of ``hot_keys``) of ``big`` go to ``salts`` tasks each: their rows of ``small``
+    are repeated once per salt, those of ``big`` take the salt from a hash of the column ``spread``. All other keys are
+    joined plainly. ``how``: inner, left, left_semi."""
+    if not hot:
+        return big.join(small, keys, how)
+    salt, is_hot = "_salt", F.xxhash64(*keys).isin(hot)
+    b = big.withColumn(salt, F.when(is_hot, F.pmod(F.xxhash64(F.lit(17), spread), F.lit(salts)).cast("int")).otherwise(0))
+    s = small.withColumn(salt, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     return b.join(s, [*keys, salt], how).drop(salt)
 
 

@@ -11,33 +11,30 @@ PROJECTS = {
     "c": "commons", "commons": "commons", "q": "wikiquote", "wikiquote": "wikiquote",
 }
 # Further prefixes, kept under their own name.
-OTHER_PROJECTS = {"b", "wikibooks", "n", "wikinews", "v", "wikiversity", "voy", "wikivoyage", "d", "wikidata", "m", "meta", "species", "mw", "imdbname", "imdbtitle", "wikispecies"}
+OTHER_PROJECTS = {"b", "n", "v", "m", "meta", "d", "wikidata", "voy", "species"}
 _LANGUAGE = re.compile(r"[a-z]{2,3}", re.ASCII)
 
 
+def _project(title: str) -> tuple[str | None, str]:
+    """The project that the first prefix names, and what follows it; (None, title) where it names none."""
+    prefix, colon, rest = title.partition(":")
+    name = prefix.strip().lower()
+    site = PROJECTS.get(name, name if name in OTHER_PROJECTS else None)
+    return (site, rest.strip()) if colon and site else (None, title)
+
+
 def page_ref(target: str) -> dict[str, str | None]:
-    """{site, lang, title, fragment} of a link target."""
-    rest = target.strip().lstrip(":").strip()
-    rest, mark, fragment = rest.partition("#")
-    site, lang = "wikiquote", "en"
-    while ":" in rest:
-        prefix, _, tail = rest.partition(":")
-        name = prefix.strip().lower()
-        if name in PROJECTS:
-            site = PROJECTS[name]
-        elif name in OTHER_PROJECTS:
-            site = name
-        elif _LANGUAGE.fullmatch(prefix.strip()):
-            lang = prefix.strip()
-        else:
-            break
-        rest = tail
-    return {"site": site, "lang": lang, "title": rest.replace("_", " ").strip(), "fragment": fragment.strip() if mark and fragment.strip() else None}
+    """{site, lang, title, fragment} of a link target: one project prefix at most, then one language at most."""
+    title, mark, fragment = target.strip().lstrip(":").strip().partition("#")
+    site, rest = _project(title.strip())
+    prefix, colon, tail = rest.partition(":")
+    known = bool(colon and _LANGUAGE.fullmatch(prefix))
+    return {"site": site or "wikiquote", "lang": prefix if known else "en", "title": tail.strip() if known else rest, "fragment": fragment.strip() if mark else None}
 
 
 def display_title(target: str) -> str:
-    """What a link without a label shows."""
-    return target.strip().lstrip(":")
+    """What a link without a label shows: the title without project and fragment."""
+    return _project(target.strip().lstrip(":").strip().partition("#")[0])[1].strip()
 
 
 def split_top(text: str, mark: str = "|") -> list[str]:

@@ -16,7 +16,7 @@ CASES = [
     ("26 Juli 2020 02:01", False, "Europe/Berlin", "2020-07-26T00:01:00Z"), ("2021-03-28 02:30:00", False, "Europe/Berlin", None), ("2020-10-25 02:30:00", False, "Europe/Berlin", "2020-10-25T00:30:00Z"),
     ("30 February 2020", False, None, None), ("1951-13-30", False, None, None), ("p. 47", False, None, None), ("18??", False, None, None), ("25:61", False, None, None), ("", False, None, None), (" ", False, None, None),
     ("sine anno", False, None, None), ("5 Foo 2020", False, None, None), ("12/1791", False, None, "1791-12"), ("from 1948 to 1953", False, None, "1948"), ("1944-1941", False, None, None),
-    ("2014-01-01 10:00", False, "No/Where", None),
+    ("2014-01-01 10:00", False, "No/Where", None), ("1 Sep 2014 2pm", False, None, "2014-09-01T14:00:00Z"), ("2014-06-30 10:15:00.123 Europe/Paris", False, "Asia/Tokyo", "2014-06-30T08:15:00Z"), ("2014-06-30 10:15 No/Where", False, None, None), ("20140630T101500Z", False, None, "2014-06-30T10:15:00Z"), ("20140630T1015+0200", False, None, "2014-06-30T08:15:00Z"), ("17 June" + " " * 300 + "2012", False, None, "2012-06-17"), ("[" * 200 + "17 June 2012" + "]" * 200, False, None, None), ("x" * 100_000, False, None, None),
 ]
 
 
@@ -53,3 +53,9 @@ def test_dictionary_grows(spark, rows):
     assert d.table().count() == 1
     got = rows(normalise_dates(df, "source_id", "date_raw", "date_iso", "lang_tag", "venue_zone", d))
     assert got == [(1, "1999"), (2, "2001-05")] and d.table().count() == 2
+    # another writer that began before sees nothing of it and adds the same strings: each is still given once
+    other = DateDictionary(spark, d.path)
+    other._parts = lambda: []
+    other.update(d.table().select("text", "month_first", "zone"))
+    assert len(d._parts()) == 3 and rows(d.table()) == rows(d.spark.read.parquet(*d._parts()).distinct()) and d.table().count() == 2
+    assert rows(normalise_dates(df, "source_id", "date_raw", "date_iso", "lang_tag", "venue_zone", DateDictionary(spark, d.path))) == got

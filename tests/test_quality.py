@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from florilege.operators.quality import drift, profile, unfit, unfit_date, unfit_label
 
 GOOD = ["Fox & Rice", "The Half-built Lantern", "Æon", "R. U. R.", "Who's Who", "1984", "A < B", "AT&T; a story"]
-BAD = ["", "  ", " x y", "Title\t", "x\u00a0", "N/A", "n/a", "none", "NULL", "tbd", "???", "—", "-", "[citation needed]", "{{w|A}}", "[[A|B]]", "<small>A", "A<br>", "O&amp;r", "A&#39;s", "a\x07b", "a\nb", "Ol\ufffd", "thÃ©e", "theâ€™ X", "https://a.example/1", "www.a.example", "bok@mail.example", "not given", "Unknown"]
+BAD = ["", "  ", " x y", "Title\t", "x\u00a0", "N/A", "n/a", "none", "NULL", "tbd", "???", "—", "-", "[citation needed]", "{{w|A}}", "[[A|B]]", "<small>A", "A<br>", "O&amp;r", "A&#39;s", "a\x07b", "a\nb", "Ol\ufffd", "thÃ©e", "theâ€™ X", "https://a.example/1", "www.a.example", "bok@mail.example", "not given", "Unknown", "<ref " + "n" * 5000 + ">", "&" + "e" * 90 + ";", "www." + "a" * 400 + ".example", "x@" + "b" * 500 + ".example"]
 
 
 def test_labels(spark):

@@ -5,7 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from florilege.operators.skew import distinct_per_key
-from florilege.session import most_frequent, salted_join, shared_dir, spread, written
+from florilege.session import dropped, hot_keys, most_frequent, salted_join, shared_dir, spread, written
 
 
 def test_most_frequent(spark):
@@ -18,9 +18,19 @@ def test_most_frequent(spark):
 def test_salted_join(spark, rows):
     big = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), (None, 2)], "k string, i bigint")
     small = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, w bigint")
-    assert rows(salted_join(big, small, ["k"], "i")) == rows(big.join(small, "k"))
-    assert rows(salted_join(big, small, ["k"], "i", "left_semi")) == rows(big.join(small, "k", "left_semi"))
-    assert rows(salted_join(big, small, ["k"], "i", "left")) == rows(big.join(small, "k", "left"))
+    for hot in ([], [r[0] for r in small.where("k = 'a'").select(F.xxhash64("k")).collect()]):
+        for how in ("inner", "left_semi", "left"):
+            assert rows(salted_join(big, small, ["k"], "i", hot, how)) == rows(big.join(small, "k", how))
+    counts = spark.createDataFrame([("a", 40_000), ("b", 9_000), ("c", 30)], "k string, n bigint")
+    assert hot_keys(counts, ["k"]) == hot_keys(counts.where("k = 'a'"), ["k"]) and len(hot_keys(counts, ["k"])) == 1
+    assert hot_keys(counts.where("k <> 'a'"), ["k"]) == [] and hot_keys(counts.limit(0), ["k"]) == []
+
+
+def test_dropped_tables_are_gone(spark):
+    a, b = written(spark.range(3), "a"), written(spark.range(3), "b")
+    at = [Path(t.inputFiles()[0].removeprefix("file://")).parent for t in (a, b)]
+    dropped(a, spark.range(1))
+    assert not at[0].exists() and at[1].exists() and b.count() == 3
 
 
 def test_written_tables_keep_rows(spark, rows):

@@ -11,8 +11,11 @@ def kinds(rt):
 
 
 def test_links():
-    assert page_ref(":w:de:Der_Turm#Oben") == {"site": "wikipedia", "lang": "de", "title": "Der Turm", "fragment": "Oben"}
+    assert page_ref(":w:de:Der_Turm#Oben") == {"site": "wikipedia", "lang": "de", "title": "Der_Turm", "fragment": "Oben"}
     assert page_ref("Plain") == {"site": "wikiquote", "lang": "en", "title": "Plain", "fragment": None}
+    forms = {"de:w:Ort": ("wikiquote", "de", "w:Ort", None), "w:de:fr:X": ("wikipedia", "de", "fr:X", None), "mw:X": ("wikiquote", "mw", "X", None), "wikibooks:X": ("wikiquote", "en", "wikibooks:X", None), "A#": ("wikiquote", "en", "A", ""), "Meta: de:Y": ("meta", "de", "Y", None), "DE:Y": ("wikiquote", "en", "DE:Y", None)}
+    assert {t: tuple(page_ref(t).values()) for t in forms} == forms
+    assert [rich_text(f"[[{t}]]")["text"] for t in ("w:Ort", "Work#Part", ":Category:X", "de:Ort")] == ["Ort", "Work", "Category:X", "de:Ort"]
     rt = rich_text(" See ''[[s:Work|The Work]]'' by [[Ann B]] and [https://x.example/a the site].")
     assert rt["text"] == "See The Work by Ann B and the site."
     assert kinds(rt) == [("link", "The Work"), ("italic", "The Work"), ("link", "Ann B"), ("external_link", "the site")]
