@@ -113,25 +113,27 @@ def _word(text: Column, word: str) -> Column:
     return text.contains(word) & text.rlike(rf"(?<![\p{{IsAlphabetic}}\p{{N}}]){word}(?![\p{{IsAlphabetic}}\p{{N}}])")
 
 
+# Phrases and words, in order, and the occasions they mean.
+OCCASION_PHRASES = [
+    ("press conference", "press conference"), ("news conference", "press conference"), ("address to", "speech"), ("address at", "speech"),
+    ("blog post", "post"), ("facebook post", "post"),
+]
+OCCASION_WORDS = [
+    ("letter", "letter"), ("letters", "letter"), ("interview", "interview"), ("speech", "speech"), ("lecture", "lecture"), ("sermon", "sermon"),
+    ("testimony", "testimony"), ("diary", "diary"), ("essay", "essay"), ("editorial", "editorial"), ("tweet", "post"),
+]
+
+
 def read_occasion(text: Column) -> Column:
     """The occasion that a citation names: phrases first, then whole words, in this order."""
     return let(F.lower(text), _occasion_in)
 
 
 def _occasion_in(low: Column) -> Column:
-    # Phrases and words, and the occasions they mean.
-    phrases = [
-        ("press conference", "press conference"), ("news conference", "press conference"), ("address to", "speech"), ("address at", "speech"),
-        ("blog post", "post"), ("facebook post", "post"),
-    ]
-    words = [
-        ("letter", "letter"), ("letters", "letter"), ("interview", "interview"), ("speech", "speech"), ("lecture", "lecture"), ("sermon", "sermon"),
-        ("testimony", "testimony"), ("diary", "diary"), ("essay", "essay"), ("editorial", "editorial"), ("tweet", "post"),
-    ]
-    out = F.when(low.contains(phrases[0][0]), phrases[0][1])
-    for phrase, occasion in phrases[1:]:
+    out = F.when(low.contains(OCCASION_PHRASES[0][0]), OCCASION_PHRASES[0][1])
+    for phrase, occasion in OCCASION_PHRASES[1:]:
         out = out.when(low.contains(phrase), occasion)
-    for word, occasion in words:
+    for word, occasion in OCCASION_WORDS:
         out = out.when(_word(low, word), occasion)
     return out
 
