@@ -1,43 +1,26 @@
-"""Free-entered values to the entries of a reference list: an automaton for mentions, token sets for the rest."""
+"""Free-entered values to the entries of a reference list: an automaton for mentions, token sets for the rest.
+
+Nothing here knows the entries of any list: forms of entries, abbreviations and inflections follow from rules, and other
+wordings are given with the list as aliases.
+"""
 
 from __future__ import annotations
 
 import math
 import re
 import unicodedata
+import uuid
+from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florilege.llm.names import ratio
-from florilege.session import salted_join, spread, written
-
-# Other wordings of an entry, where the list has it.
-ALIASES = {
-    "letter": ["letters", "ltr", "correspondence", "epistle", "note to", "wrote to"],
-    "speech": ["speeches", "address", "address to", "address at", "oration", "remarks", "keynote"],
-    "interview": ["interviews", "intvw", "interv", "q and a"],
-    "press conference": ["news conference", "press conf", "news conf", "pressconference", "presser", "press briefing"],
-    "lecture": ["lectures", "lect", "talk at"],
-    "sermon": ["sermons", "serm", "homily", "preached"],
-    "testimony": ["testimonies", "testim", "testified", "deposition"],
-    "diary": ["diaries", "diary entry", "journal entry"],
-    "essay": ["essays"],
-    "editorial": ["editorials", "leading article", "op ed"],
-    "post": ["posts", "posted", "blog", "blog post", "blogpost", "facebook", "facebook post", "tweet", "tweets", "tweeted", "twitter"],
-    "eulogy": ["eulogies", "funeral oration", "funeral speech"],
-    "debate": ["debates"],
-    "memoir": ["memoirs", "autobiography"],
-    "toast": ["toasts"],
-    "podcast": ["podcasts", "pod cast"],
-    "inaugural lecture": ["inaug lecture", "inaugural lect", "inaug lect"],
-    "open letter": ["open letters", "open ltr"],
-    "obituary": ["obituaries", "obit", "obits"],
-    "panel discussion": ["panel", "panel disc", "round table"],
-}
+from florilege.llm.names import ratio, subsequence
+from florilege.session import hot_keys, salted_join, spread, written
+
 # Short forms of words in entries.
 SHORT = {
     "university": ["univ", "u"], "press": ["pr"], "publishing": ["pub", "publ"], "company": ["co"], "brothers": ["bros"], "and": ["n", "und", "et"],
@@ -103,17 +86,22 @@ def _letters(text: str) -> int:
 
 #: Words of the list up to this length are looked up by ``_shorter``, longer ones are compared one by one.
 _INDEXED = 24
-#: Cost of a slip that made another word of the list.
-_OTHER_WORD = 10
+#: Likeness of a word for another word of the list that is one slip away: it may be a slip, but most likely it means itself.
+_OTHER_WORD = 0.25
+#: Share of an entry's mean word weight that a word costs which is in the value but neither in the entry nor known to go around entries.
+_UNKNOWN = 0.125
+_VOWELS = re.compile("[aeiouy]")
 
 
 class Canon:
     """The entries of one field, ready for matching.
 
-    The automaton and all indexes are of the size of the reference list, which is given as a list and so bounded by the driver.
+    ``entries`` are (ref_id, text), ``aliases`` (other wording, text of its entry). The automaton and all indexes are of the size of
+    the reference list, which is given as a list and so bounded by the driver. ``min_score`` is the least likeness, from 0
+    to 1, of the token sets of a value and its entry.
     """
 
-    def __init__(self, entries: list[tuple[int, str]], min_score: float = 0.8):
+    def __init__(self, entries: list[tuple[int, str]], aliases: Iterable[tuple[str, str]] = (), min_score: float = 0.7):
         import ahocorasick
 
         self.entries = sorted(entries)
@@ -127,6 +115,9 @@ class Canon:
             self.forms[ref] = n
             owner.setdefault(n, ref)
         listed = dict(owner)
+        for wording, text in aliases:
+            if (ref := listed.get(norm(text))) and norm(wording):
+                owner.setdefault(norm(wording), ref)
         for ref, n in self.forms.items():
             for form in self._variants(n):
                 if form not in listed:
@@ -140,8 +131,14 @@ class Canon:
         self.tokens = {ref: n.split() for ref, n in self.forms.items()}
         df = Counter(t for ts in self.tokens.values() for t in set(ts))
         self.weight = {t: 0.1 if t in STOP else math.log(1 + len(self.tokens) / k) for t, k in df.items()}
-        self.rare = math.log(1 + len(self.tokens) / 1.5) if self.tokens else 0.0  # between words of one and of two entries
         self.vocabulary = {t for t in df if len(t) > 2}
+        self.words = {t for form in owner for t in form.split()}
+        self.begun: dict[str, set[str]] = defaultdict(set)  # beginnings of words, as abbreviations
+        self.initial: dict[str, set[str]] = defaultdict(set)
+        for t in df:
+            self.initial[t[0]].add(t)
+            for k in range(3, len(t) - 1):
+                self.begun[t[:k]].add(t)
         self.squeezed = {ref: _seen(self._core(n).replace(" ", "")) for ref, n in self.forms.items()}
         self.shorter: dict[str, set[str]] = defaultdict(set)
         self.long: dict[int, set[str]] = defaultdict(set)
@@ -167,7 +164,8 @@ class Canon:
                 self.small[g].add(ref)
             b = self.squeezed[ref]
             self.joined[frozenset(AROUND.intersection(self.tokens[ref]))][len(b)].append((_letters(b), ref))
-        self.near: dict[str, frozenset[str]] = {}
+        self.near: dict[tuple[str, bool], dict[str, float]] = {}
+        self.ordered = sorted({(f, ref) for ref, n in self.forms.items() for f in (n, self._core(n))})
 
     @staticmethod
     def _core(n: str) -> str:
@@ -182,7 +180,6 @@ class Canon:
         return {t[i : i + 3] for i in range(len(t) - 2)}
 
     def _variants(self, n: str) -> Iterator[str]:
-        yield from ALIASES.get(n, ())
         core = self._core(n)
         if core != n and (len(core.split()) > 1 or len(core) > 3):
             yield core
@@ -208,68 +205,65 @@ class Canon:
                 kept.append((s, e, ref))
         return sorted(kept)
 
-    def match(self, value: str, leading: bool = False) -> int:
-        """The entry that a value stands for, 0 for none. ``leading``: the field's values begin with what they are (an
-        occasion, then who, where and when), so the first mention counts and slips are only looked for there."""
+    def match(self, value: str) -> int:
+        """The entry that a value stands for, 0 for none: an entry or alias itself, else the most specific of the longest
+        mention (of equal ones the first) and the entry of likest words."""
         n = norm(value)
         if n in NO_VALUE:
             return 0
         if n in self.owner:
             return self.owner[n]
         found = self.mentions(n)
-        if found:
-            return found[0][2] if leading else max(found, key=lambda x: x[1] - x[0])[2]
-        if re.search(r"(?:\.\.\.|…)\s*[\"”']?\s*$", value):
+        if not found:
+            found = self.mentions(" ".join(map(self._uninflected, n.split())))
+        named = max(found, key=lambda x: (x[1] - x[0], -x[0])) if found else None
+        if not named and _BROKEN_OFF.search(value):
             return self._cut(n)
-        return self._at_start(n) if leading else self._similar(n)
+        if named and len(self.forms[named[2]].split()) >= len(n.split()):
+            return named[2]
+        dotted = frozenset(norm(w) for w in _DOTTED.findall(value))
+        return self._similar(n, dotted, len(self.content[named[2]]) if named else -1) or (named[2] if named else 0)
+
+    def _uninflected(self, word: str) -> str:
+        """A word that isn't the list's as one that is, without its ending."""
+        if word not in self.words:
+            for end in ("s", "es", "ed", "ing"):
+                if word.endswith(end) and len(word) - len(end) > 2 and word[: -len(end)] in self.vocabulary:
+                    return word[: -len(end)]
+        return word
 
     def _cut(self, n: str) -> int:
         """A value that breaks off: the entry that goes on from it, if it is the only one."""
-        core = self._core(n)
-        fits = [ref for ref, form in self.forms.items() if form.startswith(n) or self._core(form).startswith(core)]
+        fits = set()
+        for head in {n, self._core(n)}:
+            at = bisect_left(self.ordered, (head, 0))
+            while at < len(self.ordered) and self.ordered[at][0].startswith(head) and len(fits) < 2:
+                fits.add(self.ordered[at][1])
+                at += 1
         if not fits:
-            s = _seen(core.replace(" ", ""))
-            fits = [ref for ref, q in self.squeezed.items() if len(s) > 4 and slips(q[: len(s)], s) <= allowed(s)]
-        return fits[0] if len(fits) == 1 else 0
+            s = _seen(self._core(n).replace(" ", ""))
+            fits = {ref for ref, q in self.squeezed.items() if len(s) > 4 and (_letters(q[: len(s)]) ^ _letters(s)).bit_count() <= 4 and slips(q[: len(s)], s) <= allowed(s)}
+        return fits.pop() if len(fits) == 1 else 0
 
-    def _at_start(self, n: str) -> int:
-        words = [w for w in n.split()]
-        while len(words) > 1 and words[0] in STOP:
-            words = words[1:]
-        best: tuple[int, int, int, int] | None = None
-        for form, ref in self.owner.items():
-            parts = form.split()
-            if len(form) < 4:
-                continue
-            for size in {len(parts), max(1, len(parts) - 1), len(parts) + 1}:
-                head = words[:size]
-                if len(head) < size:
-                    continue
-                a, b = "".join(head), "".join(parts)
-                k = slips(a, b) if abs(len(a) - len(b)) <= 2 else 9
-                if k <= allowed(b) and (k < 2 or len(b) >= 6) and a[0] == b[0] or k == 1 and len(b) > 4:
-                    key = (-len(parts), k, -len(b), ref)
-                    best = min(best, key) if best else key
-        return best[3] if best else 0
-
-    def _similar(self, n: str) -> int:
-        """By token sets: every word of the entry must be there but for slips, and what is left must be words that
-        go around entries. Of entries of equal cost the one with most of the
+    def _similar(self, n: str, dotted: frozenset[str] = frozenset(), above: int = -1) -> int:
+        """By token sets: the entry of more than ``above`` words (small ones don't count) with the highest score from ``min_score`` on. Of equal ones the one with most of the
         value's words counts ("Volume II" is part of some entries and goes around others), then the lowest ref_id."""
         words = set(n.split())
         best: tuple[float, int, int] | None = None
-        for ref in self._possible(n):
-            cost = self._cost(n, ref)
-            if cost is not None:
-                key = (cost, -len(words.intersection(self.tokens[ref])), ref)
+        for ref in self._possible(n, dotted):
+            if len(self.content[ref]) <= above:
+                continue
+            score = self._score(n, ref, dotted)
+            if score >= self.min_score:
+                key = (-score, -len(words.intersection(self.tokens[ref])), ref)
                 best = min(best, key) if best else key
         return best[2] if best else 0
 
-    def _possible(self, n: str) -> set[int]:
-        """All entries that ``_cost`` may accept, whatever their number: those of which every word that isn't small is
+    def _possible(self, n: str, dotted: frozenset[str]) -> set[int]:
+        """All entries that ``_score`` may accept, whatever their number: those of which every word that isn't small is
         there but for slips, those that run together are as long and of the same letters but for two slips, and those of small words only that share a trigram."""
         words = n.split()
-        there = set().union(*map(self._near, set(words)))
+        there = {t for w in set(words) for t in self._near(w, w in dotted)}
         out = {ref for t in there for ref in self.under.get(t, ()) if self.content[ref] <= there}
         if self.small:
             out.update(*(self.small.get(g, ()) for g in self._grams(n)))
@@ -285,9 +279,10 @@ class Canon:
                 out.update(ref for x, ref in lengths.get(k, ()) if (x ^ bits).bit_count() <= 4)
         return out
 
-    def _near(self, word: str) -> frozenset[str]:
-        """The words of the list that ``word`` may stand for: at least all for which ``_slip`` gives a number."""
-        found = self.near.get(word)
+    def _near(self, word: str, dotted: bool) -> dict[str, float]:
+        """The words of the list that ``word`` may stand for, and how likely: 1 for itself, its short forms and shapes that look
+        alike. ``dotted``: a full stop follows, so it may be an abbreviation."""
+        found = self.near.get((word, dotted))
         if found is None:
             near = set(self.full.get(word, ()))
             for form in {word, _seen(word)}:
@@ -295,80 +290,86 @@ class Canon:
                     near.update(*(self.shorter.get(x, ()) for x in _shorter(form)))
                 for k in range(len(form) - 2, len(form) + 3):
                     near.update(self.long.get(k, ()))
-            found = frozenset(t for t in near if t == word or self._slip(word, t) is not None)
+            found = {t: k for t in near if (k := self._likeness(word, t))}
+            if dotted and word not in self.words:
+                found |= dict.fromkeys(self.begun.get(word, ()), 1.0)
+            if len(word) > 2 and word not in self.words and not _VOWELS.search(word[1:]):  # consonants alone
+                found |= {t: 1.0 for t in self.initial.get(word[0], ()) if len(t) > len(word) and subsequence(word, t) == len(word)}
             if len(self.near) < 200_000:
-                self.near[word] = found
+                self.near[word, dotted] = found
         return found
 
-    def _cost(self, n: str, ref: int) -> float | None:
-        target = self.tokens[ref]
-        words = n.split()
+    def _score(self, n: str, ref: int, dotted: frozenset[str]) -> float:
+        """Likeness of the value's words and the entry's, 0 where a word of the entry lacks that isn't small.
+
+        The entry's words by weight, each times its likeness to the value's word for it, over all of them and a share for each
+        word left that is neither small, a number nor known to go around entries. Words run together or torn apart
+        count by slips of the whole."""
+        target, words = self.tokens[ref], n.split()
         left = list(words)
-        total = 0
-        missing: list[str] = []
-        for t in target:
-            if t in left:
-                left.remove(t)
-            else:
-                missing.append(t)
-        for t in list(missing):
-            options = [(self._slip(w, t), w) for w in left]
-            options = [o for o in options if o[0] is not None]
-            if options:
-                k, w = min(options)
-                total += k
-                left.remove(w)
-                missing.remove(t)
-        rest = [w for w in left if w not in AROUND and w not in STOP and not w.isdigit()]
-        lack = [t for t in missing if t not in STOP]
-        # "teh", "annd": slips of small words
-        rest = [w for w in rest if not any(abs(len(w) - len(s)) < 2 and slips(w, s) <= 1 for s in STOP if len(s) > 1)]
-        share = 1 - sum(self.weight[t] for t in lack) / max(sum(self.weight[t] for t in target), 1e-9)
-        if total >= _OTHER_WORD:
-            # only where the rest of the entry leaves little doubt
-            exact = [t for t in target if t in words and t not in STOP and self.weight[t] > 3]
-            sure = len(exact) > 1 or any(len(t) > 5 and self.weight[t] > self.rare for t in exact)
-            return total if not rest and share >= 1 and total == _OTHER_WORD and sure else None
-        if not rest and share >= 1 and total <= 4:
-            return total
-        # words run together or torn apart
-        a, b = _seen(self._core(" ".join(w for w in words if w not in AROUND or w in target)).replace(" ", "")), self.squeezed[ref]
-        if len(words) != len(target) and abs(len(a) - len(b)) <= 2 and len(b) > 6:
-            k = slips(a, b)
-            if k <= 2:
-                return k + 0.5
-        # a word around the entry that isn't known, as a place: only if all of the entry is there with few slips
-        if share >= 1 and total <= 1 and len(rest) == 1 and self.places:
-            return total + 1.0
-        return None
-
-    #: Whether an unknown word may stand before or after an entry (publishers are given with their towns).
-    places = False
-
-    def _slip(self, word: str, target: str) -> int | None:
-        """Slips of ``word`` for ``target``; None if it is too far off or a word of its own."""
-        if target in SHORT and word in SHORT[target]:
-            return 0
+        likeness = dict.fromkeys(range(len(target)), 0.0)
+        for exact in (True, False):
+            for i, t in enumerate(target):
+                if not likeness[i] and left:
+                    w = t if exact else max(left, key=lambda w: self._near(w, w in dotted).get(t, 0.0))
+                    k = (1.0 if t in left else 0.0) if exact else self._near(w, w in dotted).get(t, 0.0)
+                    if k:
+                        likeness[i] = k
+                        left.remove(w)
+        score = 0.0
+        if all(likeness[i] or t in STOP for i, t in enumerate(target)):
+            rest = [w for w in left if w not in AROUND and w not in STOP and not w.isdigit()]
+            # "teh", "annd": slips of small words
+            rest = [w for w in rest if not any(abs(len(w) - len(s)) < 2 and slips(w, s) <= 1 for s in STOP if len(s) > 1)]
+            weights = [self.weight[t] for t in target]
+            whole = sum(weights)
+            counted = sum(1 for t in target if t not in STOP) or 1
+            score = sum(w * (likeness[i] or (1.0 if t in STOP else 0.0)) for i, (t, w) in enumerate(zip(target, weights))) / (whole + len(rest) * _UNKNOWN * whole / counted)
+        if score < self.min_score and len(words) != len(target):
+            a, b = _seen(self._core(" ".join(w for w in words if w not in AROUND or w in target)).replace(" ", "")), self.squeezed[ref]
+            if abs(len(a) - len(b)) <= 2 and len(b) > 6 and max(len(a), len(b)) - subsequence(a, b) <= 2 and (k := slips(a, b)) <= 2:
+                score = max(score, 1 - (k + 0.5) / len(b))
+        return score
+
+    def _likeness(self, word: str, target: str) -> float:
+        """How likely ``word`` was meant for ``target``, by its slips; 0 if it is too far off or a word of its own."""
+        if word == target or (target in SHORT and word in SHORT[target]):
+            return 1.0
         a, b = _seen(word), _seen(target)
         if a == b:
-            return 0
+            return 1.0
         if min(len(a), len(b)) < 2 or abs(len(a) - len(b)) > 2:
-            return None
+            return 0.0
         k = min(slips(a, b), slips(word, target))
         if target in STOP:
-            return k if len(target) > 2 and k <= 2 and word not in self.vocabulary else None
+            return 1 - k / 4 if len(target) > 2 and k <= 2 and word not in self.vocabulary else 0.0
         if word in self.vocabulary:  # another word of the list: one slip may have made it
-            return _OTHER_WORD if k == 1 and len(b) > 2 else None
-        # two slips in a word of five letters count as three: only if hardly anything else is off
-        if k == 2 and len(b) == 5 and ratio(a, b) >= 0.65:
-            return 3
-        return k if k <= allowed(b) and (k < 2 or ratio(a, b) >= 0.65) else None
+            return _OTHER_WORD if k == 1 and len(b) > 2 else 0.0
+        if k > max(allowed(b), 2 if len(b) == 5 else 0) or (k > 1 and ratio(a, b) < 0.65):
+            return 0.0
+        return 1 - k / len(b)
+
+
+#: A value that breaks off; a word with a full stop.
+_BROKEN_OFF = re.compile(r"(?:\.\.\.|…)\s*[\"”']?\s*$")
+_DOTTED = re.compile(r"([^\W_]+)\.")
+#: Matchers of this Python worker, of the last call only: they are built once a worker, not once a task.
+_made: dict[tuple[str, str], Canon] = {}
+
+
+def _canon(run: str, field: str, entries: list[tuple[int, str]], aliases: list[tuple[str, str]]) -> Canon:
+    if (run, field) not in _made:
+        for old in [k for k in _made if k[0] != run]:
+            del _made[old]
+        _made[run, field] = Canon(entries, aliases)
+    return _made[run, field]
 
 
-def map_values(df: DataFrame, id_col: str, fields: list[str], canon: DataFrame, leading: tuple[str, ...] = (), places: tuple[str, ...] = (), max_entries: int = 1_000_000) -> DataFrame:
+def map_values(df: DataFrame, id_col: str, fields: list[str], canon: DataFrame, aliases: dict[str, list[tuple[str, str]]] | None = None, max_entries: int = 200_000) -> DataFrame:
     """(id, field, ref_id) of each non-null value that isn't exactly an entry of its field; ref_id 0 for none.
 
-    ``canon`` (ref_id, field, canonical) is the reference list. It goes to every worker, so its size is checked:
+    ``canon`` (ref_id, field, canonical) is the reference list; ``aliases`` has, by field, other wordings and the entries they
+    stand for. The list goes to every worker, so its size is checked:
     beyond ``max_entries`` the call fails rather than flood the workers. Distinct values are matched once and joined
     back; a value that a third of all rows have is one lookup and spread in the join. Blank values and those that only say that the value is missing give 0.
     Null values give no row, null ids are kept, repeated rows give repeated rows, empty tables none; entries that are null or blank match nothing,
@@ -383,20 +384,19 @@ def map_values(df: DataFrame, id_col: str, fields: list[str], canon: DataFrame,
     for r in rows:
         entries[r["field"]].append((r["ref_id"], r["canonical"]))
     shared = spark.sparkContext.broadcast(dict(entries))
+    known_as, token = aliases or {}, uuid.uuid4().hex
     long = df.select(F.col(id_col).alias("_id"), F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("x")).select("_id", "x.*").where("value is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[str, Canon] = {}
         exact: dict[str, set[str]] = {}
         for b in batches:
             out: list[int | None] = []
             for f, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if f not in made:
-                    made[f] = Canon(shared.value.get(f, []))
-                    made[f].places = f in places
+                if f not in exact:
                     exact[f] = {t for _, t in shared.value.get(f, [])}
-                out.append(None if v in exact[f] else made[f].match(v, f in leading))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.int64())], ["field", "value", "ref_id"])
+                out.append(None if v in exact[f] else _canon(token, f, shared.value.get(f, []), known_as.get(f, [])).match(v))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], ["field", "value", "n", "ref_id"])
 
-    known = written(spread(long.select("field", "value").distinct()).mapInArrow(run, "field string, value string, ref_id bigint").where("ref_id is not null"), "canon")
-    return salted_join(long, known, ["field", "value"], "_id").select(F.col("_id").alias(id_col), "field", "ref_id")
+    values = long.groupBy("field", "value").agg(F.count("*").alias("n"))
+    known = written(spread(values).mapInArrow(run, "field string, value string, n bigint, ref_id bigint").where("ref_id is not null"), "canon")
+    return salted_join(long, known.drop("n"), ["field", "value"], "_id", hot_keys(known, ["field", "value"])).select(F.col("_id").alias(id_col), "field", "ref_id")

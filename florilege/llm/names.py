@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from florilege.session import salted_join, spread, written
+from florilege.session import hot_keys, salted_join, spread, written
 
 # Stand-ins for unnamed people.
 NOBODY = {
@@ -246,7 +246,8 @@ def _keyed(values: DataFrame, shortest: int, common: int) -> DataFrame:
 
     suffixes = written(values.select("field", "name", "v").mapInArrow(index, "field string, v bigint, name string, suffix string, whole boolean, others array<string>"), "suffixes")
     size = suffixes.groupBy("field", "suffix").agg(F.count_distinct("v").alias("n"))
-    marked = salted_join(suffixes, size, ["field", "suffix"], "v")
+    size = written(size, "sizes")
+    marked = salted_join(suffixes, size, ["field", "suffix"], "v", hot_keys(size, ["field", "suffix"]))
     good = marked.where(F.col("n") <= common)
     shortest_good = Window.partitionBy("field", "v", "token").orderBy(F.length("suffix"))
     # a token's suffixes end alike, so its last letters tell it apart within the name well enough
@@ -257,6 +258,17 @@ def _keyed(values: DataFrame, shortest: int, common: int) -> DataFrame:
     return plain_keys.unionByName(refined).distinct()
 
 
+def _block_pairs(rows: DataFrame, counts: DataFrame, block: int, columns: list[str]) -> DataFrame:
+    """All pairs of rows of one ``key``, in both orders and with themselves, as columns with 1 and 2 behind their names.
+    ``counts`` (key, m), a written table, has the keys of several rows: those of more than ``block`` are cut into blocks by a
+    hash, and each pair of blocks is a join key of its own."""
+    blocks = counts.select("key", F.ceil(F.col("m") / block).cast("int").alias("_n"))
+    cut = salted_join(rows, blocks, ["key"], columns[1], hot_keys(counts, ["key"], "m")).withColumn("_x", F.pmod(F.xxhash64(F.lit(3), *columns), F.col("_n")).cast("int"))
+    cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_y"))
+    side = lambda k, p, q: cut.select("key", F.col(p).alias("_p"), F.col(q).alias("_q"), *[F.col(c).alias(f"{c}{k}") for c in columns])
+    return side(1, "_x", "_y").join(side(2, "_y", "_x"), ["key", "_p", "_q"])
+
+
 def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shortest: int = 4, common: int = 60, block: int = 1_000) -> DataFrame:
     """(field, id_1, id_2), id_1 < id_2: rows whose names in a field are different strings for one person or organisation.
 
@@ -279,15 +291,12 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
     for p in parts[1:]:
         rows = rows.unionByName(p)
     rows = rows.where("id is not null and name is not null")
-    values = written(rows.groupBy("field", "name").agg(F.min("id").alias("v")), "names")
-
-    keyed = _keyed(values, shortest, common)
-    counts = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
-    cut = salted_join(keyed, counts, ["key"], "v").withColumn("x", F.pmod(F.xxhash64(F.lit(3), "v"), F.col("blocks")).cast("int"))
-    cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"))
-    a = cut.select("key", F.col("x").alias("p"), F.col("y").alias("q"), "field", F.col("v").alias("v1"), F.col("name").alias("n1"))
-    b = cut.select("key", F.col("y").alias("p"), F.col("x").alias("q"), F.col("v").alias("v2"), F.col("name").alias("n2"))
-    pairs = a.join(b, ["key", "p", "q"]).where("v1 < v2 or (v1 = v2 and n1 < n2)").select("field", "v1", "n1", "v2", "n2").distinct()
+    values = written(rows.groupBy("field", "name").agg(F.min("id").alias("v"), F.count("*").alias("n")), "names")
+
+    keyed = written(_keyed(values, shortest, common), "keys")
+    counts = written(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "counts")
+    pairs = _block_pairs(keyed.select("key", "field", "v", "name"), counts, block, ["field", "v", "name"])
+    pairs = pairs.where("v1 < v2 or (v1 = v2 and name1 < name2)").select(F.col("field1").alias("field"), "v1", F.col("name1").alias("n1"), "v2", F.col("name2").alias("n2")).distinct()
     pairs = spread(pairs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,10 +316,14 @@ def linked_names(df: DataFrame, id_col: str, fields: dict[str, str | None], shor
     # names that share no suffix meet over a third name that both agree with
     back = first.select("field", F.col("n2").alias("n1"), F.col("n1").alias("n2"), "how")
     both = first.unionByName(back)
-    over = both.select("field", F.col("n1").alias("via"), F.col("n2").alias("n1"), F.col("how").alias("h1")).join(both.select("field", F.col("n1").alias("via"), "n2", F.col("how").alias("h2")), ["field", "via"])
-    over = over.where("n1 < n2").groupBy("field", "n1", "n2").agg(F.max((F.col("h1") == FULL) & (F.col("h2") == FULL)).alias("sure"))
+    # a name with very many links is cut into blocks too
+    near = both.select(F.concat_ws("|", "field", "n1").alias("key"), "field", "n2", "how")
+    load = written(near.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "load")
+    over = _block_pairs(near, load, block, ["field", "n2", "how"]).where("n21 < n22")
+    over = over.groupBy(F.col("field1").alias("field"), F.col("n21").alias("n1"), F.col("n22").alias("n2")).agg(F.max((F.col("how1") == FULL) & (F.col("how2") == FULL)).alias("sure"))
     second = over.join(both.select("field", "n1", "n2"), ["field", "n1", "n2"], "left_anti").mapInArrow(compare_again, "field string, n1 string, n2 string")
     linked = written(first.select("field", "n1", "n2").unionByName(second), "linked")
-    left = salted_join(rows, linked.withColumnRenamed("n1", "name"), ["field", "name"], "id").select("field", F.col("n2").alias("name"), F.col("id").alias("i"))
-    full = salted_join(rows, left, ["field", "name"], "id").select("field", "i", F.col("id").alias("j")).where("i <> j")
+    hot = hot_keys(values, ["field", "name"])
+    left = salted_join(rows, linked.withColumnRenamed("n1", "name"), ["field", "name"], "id", hot).select("field", F.col("n2").alias("name"), F.col("id").alias("i"))
+    full = salted_join(rows, left, ["field", "name"], "id", hot).select("field", "i", F.col("id").alias("j")).where("i <> j")
     return full.select("field", F.least("i", "j").alias(f"{id_col}_1"), F.greatest("i", "j").alias(f"{id_col}_2"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from florilege.functions.citation import OCCASION_PHRASES, OCCASION_WORDS
 from florilege.llm.canon import map_values
 from florilege.llm.names import linked_names
 from florilege.llm.neardup import similar_pairs
@@ -16,8 +17,9 @@ from florilege.session import table
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = ["work_title", "publisher", "occasion"]
-    return map_values(table(spark, sf_dir, "sources"), "source_id", fields, table(spark, sf_dir, "canon_items"), leading=("occasion",), places=("publisher",))
+    # what the citation reader takes for an occasion are other wordings of the list's; plurals follow from rules
+    aliases = {"occasion": [(wording, text) for wording, text in OCCASION_PHRASES + OCCASION_WORDS if not wording.startswith(text)]}
+    return map_values(table(spark, sf_dir, "sources"), "source_id", ["work_title", "publisher", "occasion"], table(spark, sf_dir, "canon_items"), aliases)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

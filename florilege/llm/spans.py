@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from florilege.functions.text import collapse_ws
-from florilege.session import salted_join, spread, written
+from florilege.session import dropped, hot_keys, salted_join, spread, written
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -239,10 +239,12 @@ def _compare_hot(members: DataFrame, least: int, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(dist.astype(np.int32)), pa.array(h.view(np.int64)), pa.array(doc)], ["h", "dist", "win", "doc"])
 
     rows = members.select("h", "left", "context", "doc").mapInArrow(explode, "h bigint, dist int, win bigint, doc bigint")
-    shared = rows.groupBy("h", "dist", "win").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("h", "dist", "win")
+    shared = rows.groupBy("h", "dist", "win").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a <> b").select("h", "dist", "win", "n")
+    shared = written(shared, "windows")
     # the shared windows of an anchor are joined back by digest; a window that very many share goes to many tasks
     again = members.select("h", "left", "context", "doc", "pos").mapInArrow(_explode_with_pos(least, reach), "h bigint, dist int, win bigint, doc bigint, pos array<int>")
-    hit = salted_join(again, shared, ["h", "dist", "win"], "doc", "left_semi", salts=32)
+    key = ["h", "dist", "win"]
+    hit = salted_join(again, shared.select(*key), key, "doc", hot_keys(shared, key), "left_semi")
     start = F.explode("pos").alias("p")
     return hit.select("doc", "dist", start).select("doc", (F.col("p") - F.col("dist")).alias("s"), (F.col("p") - F.col("dist") + least).alias("e"))
 
@@ -282,23 +284,21 @@ def shared_spans(df: DataFrame, id_col: str, text_col: str, least: int = 160, si
     docs = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where(F.col("doc").isNotNull() & (F.length("text") >= least))
     # whole copies: one representative goes on, the copies are shared from end to end
     ident = docs.select("doc", F.md5("text").alias("m"), F.length("text").alias("n"))
-    same = written(ident.groupBy("m", "n").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last"), "copies")
-    copies = salted_join(ident, same, ["m", "n"], "doc").select("doc", "n", "first", "last")
+    same = written(ident.groupBy("m", "n").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("c")).where("first <> last"), "copies")
+    copies = salted_join(ident, same, ["m", "n"], "doc", hot_keys(same, ["m", "n"], "c")).select("doc", "n", "first", "last")
     whole = copies.select("doc", F.lit(0).alias("s"), F.col("n").alias("e"))
     extra = copies.where("doc <> first").select("doc").distinct()
 
     rows = _anchor_rows(docs, least, size).join(extra, "doc", "left_anti")
     rows = written(rows, "anchors")
     shared = rows.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).where("a <> b")
-    hits = salted_join(rows, shared.select("h", (F.col("n") > hot_members).alias("hot")), ["h"], "doc")
+    shared = written(shared.select("h", "n"), "shared")
+    hits = salted_join(rows, shared.select("h"), ["h"], "doc", hot_keys(shared, ["h"]))
     contexts = written(_contexts(hits.select("doc", "h", "pos"), docs, least, size), "contexts")
-    hot = contexts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot_members).select("h")
-    if hot.limit(1).count():
-        hot = written(hot, "hot")
-        cold = _compare_groups(contexts.join(hot, "h", "left_anti"), least, size)
-        spans = cold.unionByName(_compare_hot(salted_join(contexts, hot, ["h"], "doc", "left_semi"), least, size))
-    else:
-        spans = _compare_groups(contexts, least, size)
+    dropped(rows, shared)
+    hot = written(contexts.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot_members), "hot")
+    cold = _compare_groups(contexts.join(hot.select("h"), "h", "left_anti"), least, size)
+    spans = cold.unionByName(_compare_hot(salted_join(contexts, hot.select("h"), ["h"], "doc", hot_keys(hot, ["h"]), "left_semi"), least, size))
     return _merge(spans.unionByName(whole)).select(F.col("doc").alias(id_col), F.col("s").cast("long").alias("span_start"), F.col("e").cast("long").alias("span_end"))
 
 
@@ -329,6 +329,6 @@ def repeated_units(df: DataFrame, id_col: str, text_col: str, by: str = "line",
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).where("id is not null and t is not null")
     units = src.mapInArrow(run, "id bigint, s bigint, e bigint, u string").withColumn("u", F.lower(collapse_ws(F.col("u"))))
     units = written(units.where(F.length("u") >= least).select("id", "s", "e", F.md5("u").alias("m")), "units")
-    first = units.groupBy("m").agg(F.min(F.struct("id", "s")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    found = salted_join(units, first, ["m"], "id").where((F.col("id") != F.col("first.id")) | (F.col("s") != F.col("first.s")))
+    first = written(units.groupBy("m").agg(F.min(F.struct("id", "s")).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
+    found = salted_join(units, first.drop("n"), ["m"], "id", hot_keys(first, ["m"])).where((F.col("id") != F.col("first.id")) | (F.col("s") != F.col("first.s")))
     return found.select(F.col("id").alias(id_col), F.col("s").alias("unit_start"), F.col("e").alias("unit_end"), F.col("first.id").alias("first_id"), F.col("first.s").alias("first_start"))

@@ -5,7 +5,7 @@ import pytest
 
 from florilege.llm.canon import Canon, map_values, slips
 from florilege.llm.names import FULL, INITIAL, NONE, linked_names, match, parse
-from florilege.llm.neardup import similar_pairs
+from florilege.llm.neardup import similar_classes, similar_pairs
 from florilege.llm.spans import repeated_units, shared_spans
 
 
@@ -38,6 +38,18 @@ def test_near_duplicates(spark, rows, block):
     assert rows(similar_pairs(df, "id", "text", block=block)) == shingle_pairs(data)
 
 
+def test_classes_of_near_duplicates(spark, rows, monkeypatch):
+    # hot keys are salted from the second row on
+    monkeypatch.setattr("florilege.session._HOT_ROWS", 1)
+    base = [f"w{i}" for i in range(20)]
+    texts = [" ".join(base)] * 5 + [" ".join(base).upper() + " "] + [" ".join([*base[:-1], x]) for x in ("a", "b")] + [" ".join(reversed(base)), "short", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    got = rows(similar_classes(df, "id", "text", block=2))
+    assert got == [(i, 0, 2) for i in range(6)] + [(6, 6, 2), (7, 7, 2), (8, 8, 0)]
+    assert rows(similar_pairs(df, "id", "text", block=2)) == shingle_pairs(enumerate(texts))
+    assert similar_classes(df.limit(0), "id", "text").count() == 0
+
+
 def test_no_near_duplicates_of_nothing(spark):
     assert similar_pairs(spark.createDataFrame([], "id bigint, text string"), "id", "text").count() == 0
 
@@ -108,7 +120,7 @@ CANON = [(1, "work_title", "The Slow Snow"), (2, "work_title", "Songs of the Lat
 VALUES = [
     ("work_title", "the slow snnow", 1), ("work_title", "Slow Snow, The", 1), ("work_title", "The Slow Snow (2nd ed.)", 1), ("work_title", "SlowSnow", 1), ("work_title", "Songs of the Late…", 2), ("work_title", "Letters frorn Gridmore: The Schol Years", 3), ("work_title", "The Quick Ember", 0),
     ("work_title", "", 0), ("work_title", "N/A", 0), ("work_title", "x" * 20_000, 0), ("publisher", "Veixecki UP", 4), ("publisher", "Rajeaux: Veixecki Univ. Press", 4), ("publisher", "Veixgrenwold University Press", 0), ("publisher", "privately printed", 0), ("publisher", "Casa Laurr, Ltd.", 5),
-    ("occasion", "inaug. lecture at Tobshaw", 9), ("occasion", "An open letter to Ann", 7), ("occasion", "in a letter", 6), ("occasion", "posted on a blog", 10), ("occasion", "lectrue", 8), ("occasion", "wall of the station", 0), ("occasion", "Leter no. 5", 6),
+    ("occasion", "inaug. lecture at Tobshaw", 9), ("occasion", "An open letter to Ann", 7), ("occasion", "in a letter", 6), ("occasion", "posted on a blog", 10), ("occasion", "ltr.", 6), ("occasion", "inaug. lect.", 9), ("occasion", "inagural lecture", 9), ("occasion", "letter on posts", 6), ("occasion", "A missive to Ann", 6), ("occasion", "lectuer entry", 8), ("occasion", "lectrue", 8), ("occasion", "wall of the station", 0), ("occasion", "Leter no. 5", 6),
 ]
 
 
@@ -119,7 +131,7 @@ def test_canon(spark, rows):
     data = [(i, *[v if f == g else None for g in fields]) for i, (f, v, _) in enumerate(VALUES)] + [(90, "The Slow Snow", None, None), (91, None, None, None), (0, VALUES[0][1], None, None)]
     df = spark.createDataFrame([(*d, "x") for d in data], "source_id bigint, work_title string, publisher string, occasion string, value string")
     canon = spark.createDataFrame(CANON, "ref_id bigint, field string, canonical string")
-    got = rows(map_values(df, "source_id", fields, canon, leading=("occasion",), places=("publisher",)))
+    got = rows(map_values(df, "source_id", fields, canon, {"occasion": [("missive", "letter")]}))
     assert got == sorted([(i, f, r) for i, (f, _, r) in enumerate(VALUES)] + [(0, "work_title", 1)], key=repr)
     assert map_values(df.limit(0), "source_id", fields, canon).count() == 0
     assert {r["ref_id"] for r in map_values(df, "source_id", fields, canon.limit(0)).collect()} == {0}
@@ -127,6 +139,16 @@ def test_canon(spark, rows):
         map_values(df, "source_id", fields, canon, max_entries=3)
 
 
+def test_canon_of_another_list():
+    # a list that no rule was made for: towns and trades, with wordings given by the caller
+    trades = Canon([(1, "blacksmith"), (2, "master builder"), (3, "builder"), (4, "apothecary"), (5, "ship's carpenter"), (6, "carpenter")], [("pill maker", "apothecary"), ("nothing", "no entry")])
+    cases = {
+        "Blacksmiths": 1, "blaksmith": 1, "black smith": 1, "the master builder of Ard": 2, "mastr builder": 2, "buildre": 3, "Pill-Maker, Ard": 4, "apoth.": 4, "apoth": 0, "bldr": 3, "ships carpenter": 5,
+        "carpentr": 6, "ship's carp.": 5, "a builder...": 3, "weaver": 0, "master of arts": 0, "nothing": 0, "n/a": 0, "black": 0, "black...": 1,
+    }
+    assert {v: trades.match(v) for v in cases} == cases
+
+
 def test_canon_scores_every_possible_entry():
     # longer entries share more trigrams with the slipped value than its own entry does
     crowd = [f"The Wonder of {w} for Roger" for w in "Ardmore Balcombe Cadmoor Dunwell Elsgate Farnholm Gridley Hartwick Ivesham Jarrow Kelby Lindow Marsham Norcott Oakley".split()]
