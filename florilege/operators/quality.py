@@ -157,7 +157,7 @@ def profile(df: DataFrame, load: str, rules: dict[str, Column]) -> DataFrame:
 
     Columns: column, load, n_rows, n_null, null_rate, n_distinct, min_value, max_value, n_unfit. Structs are opened; arrays
     count as their JSON text. Values over 16 bytes are told apart by a 128-bit digest; ranges are of the whole texts
-    (numbers by value for numeric columns). Null loads are a load of their own; an empty table gives no rows.
+    (numbers by value for numeric columns; of arrays and maps the number of elements). Null loads are a load of their own; an empty table gives no rows.
 
     The table is read twice. Melted to (column, load, value or digest) it is aggregated twice: a value that a third of all rows have is summed
     up before it is shuffled, and no (column, load) is ever gathered. Whole texts go into the ranges only: two a column, load and task reach the shuffle.
@@ -177,7 +177,8 @@ def profile(df: DataFrame, load: str, rules: dict[str, Column]) -> DataFrame:
                 (F.col(f"`bad {_shown(name)}`").cast("int") if _shown(name) in broken else F.lit(0)).alias("bad"),
             )
         )
-        ranges.append((_shown(name), F.col(name).cast("double") if number else _text(name, kind)))
+        held = F.when(F.col(name).isNotNull(), F.size(name)).cast("double") if isinstance(kind, (T.ArrayType, T.MapType)) else _text(name, kind)
+        ranges.append((_shown(name), F.col(name).cast("double") if number else held))
     melted = texts.select("load", F.explode(F.array(*items)).alias("i")).select(F.col("i.c").alias("column"), "load", "i.v", "i.bad")
     values = melted.groupBy("column", "load", "v").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
     counts = values.groupBy("column", "load").agg(
@@ -279,7 +280,9 @@ def drift(df: DataFrame, id_col: str, load: str, rules: dict[str, Column], skip:
     if not pairs:
         return spark.createDataFrame([], schema)
     share = min(1.0, train_rows / max(1, sum(counts.values())))
-    fit = written(base.where(F.col("pick") < int(share * (1 << 30))).select("load", "fold", "f"), "fit")  # read once a step
+    # read once a step, by as many tasks as the sample needs and not as the table has
+    fit = base.where(F.col("pick") < int(share * (1 << 30))).select("load", "fold", "f")
+    fit = written(fit.repartition(max(1, round(share * sum(counts.values()) / 5_000))), "fit")
     dim, models = 1 + n_cols * _PER, len(pairs) * folds
     w = np.zeros((models, dim))
 

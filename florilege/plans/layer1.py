@@ -25,7 +25,7 @@ def _arrow(ddl: str) -> pa.Schema:
 def parse_pages(pages: DataFrame, wiki_language: str = "en", evenly: bool = False) -> DataFrame:
     """Blocks of all pages (title, page_id, revision_id, timestamp, text).
 
-    A row per page (block_type 'page', with the counts of slips and of lines that gave nothing), section and block. Null texts are
+    A row per page (block_type 'page', with its bytes, lines that aren't blank, slips and lines that gave nothing), section and block. Null texts are
     empty pages. ``evenly`` spreads the pages over the cluster first, for sources of few partitions.
     """
     fields = _arrow(schema.BLOCKS)
@@ -39,7 +39,7 @@ def parse_pages(pages: DataFrame, wiki_language: str = "en", evenly: bool = Fals
             for title, page_id, revision_id, timestamp, text in zip(*(b.column(i).to_pylist() for i in range(5))):
                 p = Page(text or "", title or "")
                 common = {"wiki_language": wiki_language, "title": title, "page_id": page_id, "revision_id": revision_id, "timestamp": timestamp, "categories": p.categories, "lead_templates": p.lead_templates}
-                top = {"block_type": "page", "block_index": -1, "section_ord": -1, "path": [], "error_nodes": p.errors, "unassigned_lines": p.skipped}
+                top = {"block_type": "page", "block_index": -1, "section_ord": -1, "path": [], "error_nodes": p.errors, "unassigned_lines": p.skipped, "bytes": len((text or "").encode("utf-8", "surrogatepass")), "source_lines": sum(1 for x in p.lines if x.strip())}
                 rows += [dict.fromkeys(names) | common | r for r in [top, *p.rows]]
                 size += len(text or "")
                 if size > _CHARS:
@@ -52,19 +52,11 @@ def parse_pages(pages: DataFrame, wiki_language: str = "en", evenly: bool = Fals
     return (spread(src) if evenly else src).mapInArrow(run, schema.BLOCKS)
 
 
-def typed_pages(blocks: DataFrame, raw: DataFrame | None = None) -> DataFrame:
-    """A row per page: page_type and evidence, categories, interwiki, parse counts. With the raw pages also bytes and source lines."""
+def typed_pages(blocks: DataFrame) -> DataFrame:
+    """A row per page: page_type and evidence, categories, interwiki, parse counts."""
     pages = blocks.where("block_type = 'page'")
     kind = rules.page_type(F.col("categories"), F.col("lead_templates"), F.col("title"))
-    out = pages.withColumn("_t", kind).select(
+    return pages.withColumn("_t", kind).select(
         "wiki_language", "title", "page_id", "revision_id", "timestamp", F.col("_t.page_type").alias("page_type"), F.col("_t.evidence").alias("page_type_evidence"),
-        "categories", F.col("lead_templates").alias("templates"), rules.interwiki_of(F.col("lead_templates"), F.col("title")).alias("interwiki"), "error_nodes", "unassigned_lines",
+        "categories", F.col("lead_templates").alias("templates"), rules.interwiki_of(F.col("lead_templates"), F.col("title")).alias("interwiki"), "error_nodes", "unassigned_lines", "bytes", "source_lines",
     )
-    if raw is None:
-        return out
-    text = F.coalesce("text", F.lit(""))
-    counts = raw.select(
-        "page_id", "revision_id", F.octet_length(text).alias("bytes"),
-        F.size(F.filter(F.split(text, "\r?\n"), lambda x: x.rlike(r"(?U)\S"))).alias("source_lines"),
-    )
-    return out.join(counts, ["page_id", "revision_id"], "left")

@@ -1,32 +1,45 @@
-"""The three steps from a dump to a report, each from files to files."""
+"""The three steps from a dump to a report, each from files to files. Each returns its counters."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from florilege.plans import layer1, layer2, report
-from florilege.session import ship
+from florilege.session import dropped, ship, shared_path
 from florilege.sources import dump, files
 
 
-def parse(spark: SparkSession, dump_path: str, blocks_path: str, redirects_path: str, wiki_language: str = "en") -> None:
-    """Dump to layer 1 (Parquet blocks) and the redirect map (gzip JSON Lines)."""
-    ship(spark)
-    pages = dump.read_dump(spark, dump_path)
-    files.write_blocks(layer1.parse_pages(dump.content(pages), wiki_language, evenly=True), blocks_path)
-    files.write_json_lines(dump.redirects(pages), redirects_path)
-
+def parse(spark: SparkSession, dump_path: str, blocks_path: str, redirects_path: str, wiki_language: str = "en") -> dict[str, int]:
+    """Dump to layer 1 (Parquet blocks) and the redirect map (gzip JSON Lines). Counters: pages, content, redirects.
 
-def normalise(spark: SparkSession, blocks_path: str, quotes_path: str) -> None:
-    """Layer 1 to layer 2."""
+    The dump is read once: its pages are written before they go to both branches, and counted on the way."""
     ship(spark)
-    files.write_quotes(layer2.quotes(files.read_blocks(spark, blocks_path)), quotes_path)
+    seen, main = Observation("pages"), F.col("ns") == 0
+    pages = dump.read_dump(spark, dump_path).observe(
+        seen, F.count("*").alias("pages"), F.count_if(main & F.col("redirect_to").isNull()).alias("content"), F.count_if(main & F.col("redirect_to").isNotNull()).alias("redirects")
+    )
+    path = shared_path(spark, "pages")
+    pages.write.option("compression", "zstd").parquet(path)
+    held = spark.read.schema(pages.schema).parquet(path)
+    files.write_blocks(layer1.parse_pages(dump.content(held), wiki_language, evenly=True), blocks_path)
+    files.write_json_lines(dump.redirects(held), redirects_path)
+    dropped(path, spark=spark)
+    return dict(seen.get)
+
+
+def normalise(spark: SparkSession, blocks_path: str, quotes_path: str) -> dict[str, int]:
+    """Layer 1 to layer 2. Counters: documents, quotes."""
+    ship(spark)
+    blocks, made = files.read_blocks(spark, blocks_path), Observation("quotes")
+    files.write_quotes(layer2.quotes(blocks).observe(made, F.count("*").alias("quotes")), quotes_path)
+    return {"documents": blocks.where("block_type = 'page'").count(), **made.get}
 
 
-def make_report(spark: SparkSession, dump_path: str, blocks_path: str, quotes_path: str, report_path: str) -> dict:
-    """Layers 1 and 2 to the report's JSON; the dump gives sizes and lines of the pages."""
+def make_report(spark: SparkSession, blocks_path: str, quotes_path: str, report_path: str) -> dict:
+    """Layers 1 and 2 to the report's JSON."""
+    ship(spark)
     blocks = files.read_blocks(spark, blocks_path)
-    raw = dump.content(dump.read_dump(spark, dump_path))
-    made = report.build(layer1.typed_pages(blocks, raw), files.read_quotes(spark, quotes_path), blocks)
-    files.write_report(made, report_path)
+    made = report.build(layer1.typed_pages(blocks), files.read_quotes(spark, quotes_path), blocks)
+    files.write_report(spark, made, report_path)
     return made

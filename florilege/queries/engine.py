@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from florilege import schema
 from florilege.functions import citation, rules
+from florilege.functions.hashing import content_key, hash16
 from florilege.functions.text import collapse_ws
 from florilege.plans import layer1, layer2, report
 from florilege.session import shared_path, spread_few, table, written
@@ -160,8 +161,9 @@ def isbn_locators_occasion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def content_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = table(spark, sf_dir, "quotes").where("text is not null").select("id", F.md5(F.lower(collapse_ws(F.col("text")))).alias("content_key"))
-    return q.groupBy("content_key").agg(F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids")).where("n_rows > 1")
+    """Groups of one content hash, as the engine works it out, shown by the digest of their normalised text."""
+    q = table(spark, sf_dir, "quotes").where("text is not null").select("id", F.md5(F.lower(collapse_ws(F.col("text")))).alias("k"), hash16(content_key(F.col("text"))).alias("content_hash"))
+    return q.groupBy("content_hash").agg(F.min("k").alias("content_key"), F.count("*").alias("n_rows"), F.count_distinct("id").alias("n_ids")).where("n_rows > 1").drop("content_hash")
 
 
 def report_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,7 +231,7 @@ def document_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report's page side over all documents: a row per page type, and one over all (page_type null, ``overall`` 1)."""
     docs = table(spark, sf_dir, "documents").select(F.coalesce("page_title", F.lit("")).alias("title"), F.col("doc_id").alias("page_id"), F.lit(1).alias("revision_id"), F.col("fetched_at").cast("string").alias("timestamp"), "text")
-    pages = written(layer1.typed_pages(layer1.parse_pages(docs, evenly=True), docs), "pages")
+    pages = written(layer1.typed_pages(layer1.parse_pages(docs, evenly=True)), "pages")
     over_all = report.parse_totals(pages)
     by_type = report.counts_by(pages, "page_type").select(F.lit(0).alias("overall"), "page_type", F.col("n").alias("pages"))
     return by_type.unionByName(over_all.select(F.lit(1).alias("overall"), F.lit(None).cast("string").alias("page_type"), "*"), allowMissingColumns=True)
@@ -251,7 +253,7 @@ def interwiki(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def occasions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The occasion that each typed citation names, and the date in it, over all distinct occasions."""
+    """The occasion that each typed citation names, over all distinct occasions."""
     o = table(spark, sf_dir, "sources").where("occasion is not null").groupBy("occasion").agg(F.count("*").alias("n"))
     return o.select("occasion", "n", citation.read_occasion(F.col("occasion")).alias("kind"))
 

@@ -19,7 +19,7 @@ BLOCKS = (
     f"section_ord int, path {PATH}, block_index int, block_type string, rt {RICH}, annotations array<struct<depth:int,rt:{RICH}>>, "
     f"turns array<struct<speaker:string,speaker_link:{PAGE_REF},rt:{RICH},is_stage_direction:boolean>>, template {TEMPLATE}, "
     f"media struct<file:string,caption:{RICH},caption_attribution:string>, wikitext string, "
-    "error_nodes int, unassigned_lines int"
+    "error_nodes int, unassigned_lines int, bytes bigint, source_lines int"
 )
 
 AGENT = "struct<name:string,kind:string,link_site:string,link_lang:string,link_title:string,played_by:string>"

@@ -98,12 +98,13 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return table_
 
 
-def dropped(*tables: DataFrame) -> None:
-    """Removes tables made by ``written`` whose last reader has been written itself."""
+def dropped(*tables: DataFrame | str, spark: SparkSession | None = None) -> None:
+    """Removes tables made by ``written``, or paths of ``shared_path`` in ``spark``, whose last reader has been written itself."""
     for t in tables:
-        if path := _path_of.pop(t, None):
-            _written.remove((t.sparkSession, path))
-            _remove(t.sparkSession, path)
+        session, path = (spark, t) if isinstance(t, str) else (t.sparkSession, _path_of.pop(t, None))
+        if path and (session, path) in _written:
+            _written.remove((session, path))
+            _remove(session, path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

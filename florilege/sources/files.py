@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florilege import schema
+from florilege.session import put_file
 
 
 def write_quotes(quotes: DataFrame, path: str, by_type: bool = False) -> None:
@@ -30,8 +30,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """A JSON object per line, gzip; fields that are null are left out."""
-    df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+    """A JSON object per line, gzip level 3; fields that are null are left out."""
+    df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value")).write.mode("overwrite").option("compression", "gzip").option("zlib.compress.level", "THREE").text(path)
 
 
 def read_json_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -39,7 +39,6 @@ def read_json_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return spark.read.schema(ddl).json(path)
 
 
-def write_report(report: dict, path: str) -> None:
-    at = Path(path)
-    at.parent.mkdir(parents=True, exist_ok=True)
-    at.write_text(json.dumps(report, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
+def write_report(spark: SparkSession, report: dict, path: str) -> None:
+    """The report as indented JSON, through Spark's file system layer (any URI that the cluster knows)."""
+    put_file(spark, path, (json.dumps(report, indent=2, ensure_ascii=False) + "\n").encode())

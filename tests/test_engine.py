@@ -82,8 +82,8 @@ def test_records(quotes):
 
 
 def test_report(quotes):
-    raw, blocks, q = quotes
-    made = report.build(layer1.typed_pages(blocks, raw), q, blocks)
+    _, blocks, q = quotes
+    made = report.build(layer1.typed_pages(blocks), q, blocks)
     assert made["pages"]["by_type"] == {"disambiguation": 1, "film": 1, "person": 1, "proverbs": 1, "television_series": 1} and made["pages"]["pages"] == 5
     assert made["quotes"]["overall"]["quotes"] == 11 and made["quotes"]["by_page_type"]["film"]["quotes"] == 4
     assert report.top_headings(report.headings(blocks)).count() == 0
@@ -105,10 +105,11 @@ def test_dump_pipeline_and_stream(spark, tmp_path):
     folder.mkdir()
     (folder / "d.xml").write_text(XML)
     at = lambda n: str(tmp_path / n)
-    pipeline.parse(spark, str(folder), at("blocks"), at("redirects"))
-    pipeline.normalise(spark, at("blocks"), at("quotes"))
-    made = pipeline.make_report(spark, str(folder), at("blocks"), at("quotes"), at("r/report.json"))
+    assert pipeline.parse(spark, str(folder), at("blocks"), at("redirects")) == {"pages": 3, "content": 1, "redirects": 1}
+    assert pipeline.normalise(spark, at("blocks"), at("quotes")) == {"documents": 1, "quotes": 1}
+    made = pipeline.make_report(spark, at("blocks"), at("quotes"), at("r/report.json"))
     assert json.loads((tmp_path / "r/report.json").read_text()) == made and made["quotes"]["overall"]["quotes"] == 1
+    assert tuple(spark.read.parquet(at("blocks")).where("block_type = 'page'").select("bytes", "source_lines").first()) == (23, 1)
     pages = dump.read_dump(spark, str(folder))
     assert [tuple(r) for r in dump.redirects(pages).collect()] == [("B", "A")] and pages.where("page_id = 1").first()["revision_id"] == 7
     assert dump.resolve(spark.createDataFrame([("B",), ("Z",)], "t string"), "t", dump.redirects(pages)).orderBy("t").collect()[0]["resolved"] == "A"
@@ -116,6 +117,33 @@ def test_dump_pipeline_and_stream(spark, tmp_path):
     assert spark.read.parquet(at("stream")).where("block_type = 'list_item'").count() == 1
 
 
+def test_dump_entities_compression_and_broken_files(spark, tmp_path):
+    import bz2
+
+    page = "<page><title>A&amp;B</title><ns>x</ns><id>1</id><revision><id>7</id><text xml:space='preserve'>  &#x2014;&#38; &nosuch; R&D &lt;b&gt; </text></revision></page>"
+    (tmp_path / "a.xml.bz2").write_bytes(bz2.compress(f"<mediawiki><siteinfo><sitename>S</sitename></siteinfo>{page}\n{page.replace('<id>1<', '<id>2<')}</mediawiki>\n".encode()))
+    got = dump.read_dump(spark, str(tmp_path / "a.xml.bz2")).orderBy("page_id").collect()
+    assert [(r["title"], r["ns"], r["page_id"], r["text"]) for r in got] == [("A&B", 0, i, "  —& &nosuch; R&D <b> ") for i in (1, 2)]
+    (tmp_path / "cut.xml").write_text(f"<mediawiki>{page}{page[:120]}")
+    with pytest.raises(Exception):
+        dump.read_dump(spark, str(tmp_path / "cut.xml")).collect()
+    (tmp_path / "none.xml").write_text("<mediawiki></mediawiki>")
+    assert dump.read_dump(spark, str(tmp_path / "none.xml")).count() == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from florilege.__main__ import main
+
+    (tmp_path / "d.xml").write_text(XML)
+    at = lambda n: str(tmp_path / n)
+    assert main(["parse", "--input", at("d.xml"), "--pages", at("p"), "--redirects", at("r")]) == 0
+    assert main(["normalize", "--pages", at("p"), "--out", at("q")]) == 0 and main(["report", "--pages", at("p"), "--quotes", at("q"), "--out", at("report.json")]) == 0
+    assert capsys.readouterr().err.splitlines()[-3:] == ["pages 3, content 1, redirects 1", "documents 1, quotes 1", "pages 1, quotes 1"]
+    assert json.loads((tmp_path / "report.json").read_text())["pages"]["source_lines"] == 1
+    with pytest.raises(SystemExit):
+        main(["parse"])
+
+
 def test_report_queries_over_documents(spark, tmp_path):
     from florilege.queries import engine
 
@@ -133,3 +161,57 @@ def test_coverage_counts_quotes_without_page_type(spark, tmp_path):
     spark.sql(f"select explode(array('film', null, 'film')) as page_type, {row}").write.parquet(str(tmp_path / "quotes.parquet"))
     got = {(r["overall"], r["page_type"]): r["quotes"] for r in engine.report_coverage(spark, str(tmp_path)).collect()}
     assert got == {(0, "film"): 2, (0, None): 1, (1, None): 3}
+
+
+GOLDEN = """{{italic title}}
+{{wikipedia}}
+[[File:Mill.jpg|thumb|The mill stands. ~ [[Ann B]]]]
+By {{w|Carl Zed|Zed}}, see [https://mill.example/a the mill].
+* Lead saying of '''''{{PAGENAME}}'''''
+** Act III, sc. 2, lines 4-9, [[s:The Mill|The Mill]], ''The Mill''
+
+== Season Two ==
+=== Dusk [2.05] ===
+:''[the mill turns]''
+:'''[[Bob]]''': Hold on
+:'''Eve:''' I do
+----
+:'''Bob''': Late
+
+== Taglines ==
+* Grind on
+
+== Lyrics ==
+* La la {{lang|FR|chanson}}
+** Translation: a song
+
+== See also ==
+* [[Other page]]
+
+== Cast ==
+* Old Dan as Bob
+[[Category:Cancelled shows]]"""
+
+
+def test_golden_shapes(spark):
+    raw = spark.createDataFrame([("Mill", 9, 90, "2025-01-01T00:00:00Z", GOLDEN)], "title string, page_id bigint, revision_id bigint, timestamp string, text string")
+    blocks = written(layer1.parse_pages(raw), "test")
+    page = layer1.typed_pages(blocks).first()
+    assert (page["page_type"], page["page_type_evidence"], [tuple(i) for i in page["interwiki"]]) == ("television_series", ["category: cancelled shows"], [("wikipedia", "en", "Mill", None)])
+    assert (page["error_nodes"], page["unassigned_lines"], page["bytes"], page["source_lines"], [t["name"] for t in page["templates"]]) == (0, 0, len(GOLDEN.encode()), 23, ["italic title", "wikipedia"])
+    lead = blocks.where("block_type = 'paragraph' and section_ord = 0").first()["rt"]
+    assert lead["text"] == "By Zed, see the mill." and [(s["kind"], s["site"], s["title"], s["url"], s["name"]) for s in lead["spans"]] == [("link", "wikipedia", "Carl Zed", None, None), ("template", None, None, None, "w"), ("external_link", None, None, "https://mill.example/a", None)]
+    media = blocks.where("block_type = 'media'").first()["media"]
+    assert (media["file"], media["caption_attribution"]) == ("File:Mill.jpg", "Ann B")
+    got = {r["text"]: r for r in layer2.quotes(blocks).collect()}
+    assert set(got) == {"Lead saying of Mill", "Hold on", "I do", "Late", "[the mill turns]\nBob: Hold on\nEve: I do", "Grind on", "La la chanson"}
+    s = got["Lead saying of Mill"]["source"]
+    assert (s["locator_act_scene"], s["locator_line"], s["work_link_site"], s["work_link_title"], s["work_title"]) == ("Act III, sc. 2", "lines 4-9", "wikisource", "The Mill", "The Mill")
+    s = got["Hold on"]["source"]
+    assert (s["episode_series"], s["episode_season"], s["episode_number"], s["episode_title"], got["Hold on"]["speaker"]["played_by"], got["Hold on"]["speaker"]["link_title"]) == ("Mill", 2, "2.05", "Dusk", "Old Dan", "Bob")
+    assert got["Grind on"]["kind"] == "tagline" and got["La la chanson"]["kind"] == "lyric" and got["La la chanson"]["language"] == "fr"
+    assert [(t["text"], t["is_original"]) for t in got["La la chanson"]["translations"]] == [("a song", False)] and [(a["kind"], a["text"]) for a in got["La la chanson"]["annotations"]] == [("translation", "Translation: a song")]
+    # identifiers against another implementation of the hash
+    jvm = spark.sparkContext._jvm.org.apache.commons.codec.digest.Blake3
+    want = lambda t: bytes(jvm.hash(t.encode()))[:8].hex()
+    assert got["I do"]["content_hash"] == want("i do") and got["I do"]["id"] == want("Mill\nSeason Two/Dusk [2.05]\n3") and got["Lead saying of Mill"]["id"] == want("Mill\n\n4")

@@ -42,3 +42,34 @@ def test_drift_finds_the_changed_column(spark):
     assert abs(got[0, 1, "*"]["auc"] - 0.5) < 0.06 and got[1, 2, "*"]["auc"] > 0.7
     assert got[1, 2, "changed"]["drift"] > 0.15 > abs(got[1, 2, "same"]["drift"])
     assert drift(df.where("load = 1"), "id", "load", {}, skip=["id"]).count() == 0
+
+
+def test_planted_drift_is_found(spark):
+    # one column changes between two loads, each time another one: nulls, lengths, unfit values, the mix of values; others stay as they are
+    import random
+
+    r = random.Random(4)
+    columns, planted = "abcdef", {2: "a", 3: "b", 4: "c", 5: "d"}
+    data, n = [], 0
+    for load in range(1, 7):
+        for _ in range(900):
+            row = {c: r.choice("pqrs") * r.randrange(1, 6) for c in columns}
+            if load >= 2 and r.random() < 0.5:
+                row["a"] = None
+            if load >= 3:
+                row["b"] = row["b"] * 3
+            if load >= 4 and r.random() < 0.4:
+                row["c"] = "n/a"
+            if load >= 5:
+                row["d"] = r.choice(["pp", "qqq"])
+            data.append((n, load, *(row[c] for c in columns)))
+            n += 1
+    df = spark.createDataFrame(data, "id bigint, load int, " + ", ".join(f"{c} string" for c in columns))
+    got = {(x["new_load"], x["column"]): x for x in drift(df, "id", "load", {"c": unfit_label(F.col("c"))}, skip=["id"]).collect()}
+    for new in range(2, 7):
+        led = max(columns, key=lambda c: got[new, c]["drift"])
+        if new in planted:
+            assert led == planted[new] and got[new, "*"]["auc"] > 0.6 and got[new, led]["drift"] > 0.05
+        else:
+            assert got[new, "*"]["auc"] < 0.56
+        assert all(abs(got[new, c]["drift"]) < 0.04 for c in columns if c != planted.get(new))
