@@ -332,3 +332,33 @@ def repeated_units(df: DataFrame, id_col: str, text_col: str, by: str = "line",
     first = written(units.groupBy("m").agg(F.min(F.struct("id", "s")).alias("first"), F.count("*").alias("n")).where("n > 1"), "first")
     found = salted_join(units, first.drop("n"), ["m"], "id", hot_keys(first, ["m"])).where((F.col("id") != F.col("first.id")) | (F.col("s") != F.col("first.s")))
     return found.select(F.col("id").alias(id_col), F.col("s").alias("unit_start"), F.col("e").alias("unit_end"), F.col("first.id").alias("first_id"), F.col("first.s").alias("first_start"))
+
+
+def without_repeats(df: DataFrame, id_col: str, text_col: str, by: str = "line", least: int = 40) -> DataFrame:
+    """(id, text, kept): each row's text without the units that ``repeated_units`` reports, and where the units that stay stood
+    in the original, as array<struct<start, end>>.
+
+    Null texts stay null with an empty ``kept``; rows with a null id stay whole. Ids should be unique: of rows with one id, a unit goes only
+    where it stands at a reported place. A document of which nothing is left has an empty text."""
+    cut = "\n" if by == "line" else "\n\n"
+    gone = repeated_units(df.select(id_col, text_col), id_col, text_col, by, least).select(F.col(id_col).alias("_id"), F.struct("unit_start", "unit_end").alias("u"))
+    gone = gone.groupBy("_id").agg(F.collect_list("u").alias("gone"))  # bounded by the document's length
+    src = df.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t")).join(gone, "_id", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, kept = [], []
+            for t, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                away = {(x["unit_start"], x["unit_end"]) for x in found or ()}
+                at, left, places = 0, [], []
+                for u in () if t is None else t.split(cut):
+                    if (at, at + len(u)) not in away:
+                        left.append(u)
+                        places.append({"start": at, "end": at + len(u)})
+                    at += len(u) + len(cut)
+                texts.append(None if t is None else cut.join(left))
+                kept.append(places)
+            span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(kept, pa.list_(span))], [id_col, "text", "kept"])
+
+    return src.mapInArrow(run, f"{id_col} bigint, text string, kept array<struct<start:bigint,end:bigint>>")

@@ -154,3 +154,16 @@ def encode(df: DataFrame, id_col: str, text_col: str, vocab_path: str, lexicon:
                     yield pa.RecordBatch.from_arrays([key, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))], [id_col, "ids"])
 
     return src.mapInArrow(run, f"{id_col} bigint, " + ("n_tokens bigint" if only_count else "ids array<int>"))
+
+
+def decode(df: DataFrame, id_col: str, ids_col: str, vocab_path: str) -> DataFrame:
+    """(id, text): what ``encode`` was given, but for null texts, which come back empty. Null lists give an empty text; an id that the
+    vocabulary doesn't have is an error; bytes that aren't UTF-8 (cut lists) come out as replacement characters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = {i: p for p, i in load_ranks(vocab_path).items()}
+        for b in batches:
+            texts = [b"".join(map(pieces.__getitem__, ids or ())).decode("utf-8", "replace") for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [id_col, "text"])
+
+    return df.select(F.col(id_col).cast("long"), F.col(ids_col)).mapInArrow(run, f"{id_col} bigint, text string")

@@ -6,7 +6,7 @@ import pytest
 from florilege.llm.canon import Canon, map_values, slips
 from florilege.llm.names import FULL, INITIAL, NONE, linked_names, match, parse
 from florilege.llm.neardup import similar_classes, similar_pairs
-from florilege.llm.spans import repeated_units, shared_spans
+from florilege.llm.spans import repeated_units, shared_spans, without_repeats
 
 
 def shingle_pairs(data):
@@ -90,6 +90,12 @@ def test_repeated_units(spark, rows):
     df = spark.createDataFrame(data, "doc_id bigint, text string")
     got = rows(repeated_units(df, "doc_id", "text"))
     assert got == sorted([(2, 0, len(a), 1, 2), (4, 0, len(b), 2, len(a) + 3), (4, len(b) + 1, 2 * len(b) + 1, 2, len(a) + 3)], key=repr)
+    left = {r["doc_id"]: (r["text"], [tuple(k) for k in r["kept"]]) for r in without_repeats(df, "doc_id", "text").collect()}
+    assert left == {2: (f"x\n{b}", [(len(a) + 1, len(a) + 2), (len(a) + 3, len(a) + 3 + len(b))]), 1: (f"y\n{a.upper()} ", [(0, 1), (2, len(a) + 3)]), 3: (None, []), None: (a, [(0, len(a))]), 4: ("", []), 5: ("", [(0, 0)])}
+    para = spark.createDataFrame([(1, f"{a}\n{b}\n\nx"), (2, f"q\n\n{a}  \n{b}\n\n{a}")], "doc_id bigint, text string")
+    assert rows(repeated_units(para, "doc_id", "text", by="paragraph")) == [(2, 3, len(a) + len(b) + 6, 1, 0)]
+    assert rows(without_repeats(para, "doc_id", "text", by="paragraph").select("doc_id", "text")) == [(1, f"{a}\n{b}\n\nx"), (2, f"q\n\n{a}")]
+    assert without_repeats(df.limit(0), "doc_id", "text").count() == 0
 
 
 SAME = [("Cyril Kroxkovson", "Kroxkovson, Cyril"), ("Cyril Kroxkovson", "Cyril Kroxkobsn"), ("Fred Brinfeinurian", "Alfred Brinfeinurian"), ("Prof. Peter Daujsotopoulos", "Peter Daujsotopoulös"), ("Hawfeiniar, C.", "Cornelius Hawfeniar"), ("J. E. Tauzbrexino", "Julius Tauzbrexino (actor)"), ("DRIBFAUDEAUX Johanna", "Johanna Dribfaudeaux"), ("Soc. of Ard Weavers", "Ard Weavers' Society"), ("The University of Vusnatcombe", "Vusnatcombe Univ."), ("edward  lipkilquist ", "Edward Lipkilquist (born 1948)")]
@@ -185,3 +191,12 @@ def test_hot_name_keys_are_kept(spark):
     assert len(set(names)) > 5_000
     shared = keys.where("v < 2").groupBy("key").count().where("count = 2").select("key")
     assert [(r["key"], r["count"]) for r in keys.join(shared, "key").groupBy("key").count().collect()] == [("name|ield|c", len(set(names)))]
+
+
+def test_names_linked_over_a_hub(spark, rows, monkeypatch):
+    # a name that many others agree with is cut into blocks, and its keys are salted; nothing is lost
+    monkeypatch.setattr("florilege.session._HOT_ROWS", 1)
+    names = ["Carl Xeckides", "Xeckides, Carl", "CARL XECKIDES", "Carl  Xeckides", "Karl Xeckides", "C. Xeckides", "Carl Xekides", "Carl Xeckidse", "Carl Xeckides"]
+    df = spark.createDataFrame(list(enumerate(names, 1)), "agent_id bigint, name string")
+    want = rows(linked_names(df, "agent_id", {"name": None}))
+    assert rows(linked_names(df, "agent_id", {"name": None}, block=2)) == want and ("name", 1, 2) in want and ("name", 1, 9) not in want

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from florilege.llm.lexicon import Lexicon, build, load_ranks, merge, pack
 from florilege.llm.packing import pack_items, shortest_pack_first
-from florilege.llm.tokens import PATTERN, encode, vocabulary
+from florilege.llm.tokens import PATTERN, decode, encode, vocabulary
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +53,10 @@ def test_encode(spark, exact):
         want = [(i, exact(t or "")) for i, t in enumerate(TEXTS)] + [(None, exact("x")), (1, [])]
         assert sorted(got, key=repr) == sorted([(i, len(x) if only else x) for i, x in want], key=repr)
     assert encode(df.limit(0), "doc_id", "text", vocabulary()).count() == 0
+    back = decode(encode(df, "doc_id", "text", vocabulary()), "doc_id", "ids", vocabulary())
+    assert sorted((tuple(r) for r in back.collect()), key=repr) == sorted([(i, t or "") for i, t in enumerate(TEXTS)] + [(None, "x"), (1, "")], key=repr)
+    cut = spark.createDataFrame([(1, None), (2, [])], "doc_id bigint, ids array<int>")
+    assert [r[1] for r in decode(cut, "doc_id", "ids", vocabulary()).collect()] == ["", ""]
 
 
 @given(st.dictionaries(st.integers(1, 50), st.integers(1, 30), max_size=20))
