@@ -24,6 +24,8 @@ def arguments() -> argparse.ArgumentParser:
     s = steps.add_parser("report", help="layer 1 and quotes to the report")
     for name in ("pages", "quotes", "out"):
         s.add_argument(f"--{name}", required=True)
+    for s in steps.choices.values():
+        s.add_argument("--form", choices=("parquet", "jsonl"), default="parquet", help="of layer 1: flat blocks, or nested documents as gzip JSON Lines")
     return p
 
 
@@ -31,11 +33,11 @@ def main(argv: list[str] | None = None) -> int:
     a = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"florilege {a.step}").getOrCreate()
     if a.step == "parse":
-        counted = pipeline.parse(spark, a.input, a.pages, a.redirects, a.wiki_language)
+        counted = pipeline.parse(spark, a.input, a.pages, a.redirects, a.wiki_language, a.form)
     elif a.step == "normalize":
-        counted = pipeline.normalise(spark, a.pages, a.out)
+        counted = pipeline.normalise(spark, a.pages, a.out, a.form)
     else:
-        made = pipeline.make_report(spark, a.pages, a.quotes, a.out)
+        made = pipeline.make_report(spark, a.pages, a.quotes, a.out, a.form)
         counted = {"pages": made["pages"]["pages"], "quotes": made["quotes"]["overall"].get("quotes", 0)}
     print(", ".join(f"{k} {v}" for k, v in counted.items()), file=sys.stderr)
     return 0

@@ -7,7 +7,7 @@ from florilege.functions import citation, rules
 from florilege.functions.hashing import blake3_hex16, hash16
 from florilege.plans import layer1, layer2, pipeline, report
 from florilege.session import shared_path, written
-from florilege.sources import dump
+from florilege.sources import documents, dump
 from florilege.streaming.ingest import ingest
 
 ROLES = [("Quotes:", "quotes"), ("Quotes about X", "quotes_about"), ("Broadcast", "cast"), ("Undisputed", "disputed"), ("Season Two", "episodes"), ("q", "alpha_bucket"), (" \u0416 ", "alpha_bucket"), ("q:", "other"), ("Related", "see_also"), ("Taglines 1", "taglines"), ("Else", "other"), ("", "other")]
@@ -140,6 +140,10 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["normalize", "--pages", at("p"), "--out", at("q")]) == 0 and main(["report", "--pages", at("p"), "--quotes", at("q"), "--out", at("report.json")]) == 0
     assert capsys.readouterr().err.splitlines()[-3:] == ["pages 3, content 1, redirects 1", "documents 1, quotes 1", "pages 1, quotes 1"]
     assert json.loads((tmp_path / "report.json").read_text())["pages"]["source_lines"] == 1
+    # layer 1 as nested documents gives the same quotes and report
+    assert main(["parse", "--form", "jsonl", "--input", at("d.xml"), "--pages", at("j"), "--redirects", at("jr")]) == 0 and main(["normalize", "--form", "jsonl", "--pages", at("j"), "--out", at("jq")]) == 0
+    assert main(["report", "--form", "jsonl", "--pages", at("j"), "--quotes", at("jq"), "--out", at("j.json")]) == 0 and (tmp_path / "j.json").read_text() == (tmp_path / "report.json").read_text()
+    assert spark.read.parquet(at("jq")).collect() == spark.read.parquet(at("q")).collect()
     with pytest.raises(SystemExit):
         main(["parse"])
 
@@ -193,7 +197,7 @@ By {{w|Carl Zed|Zed}}, see [https://mill.example/a the mill].
 [[Category:Cancelled shows]]"""
 
 
-def test_golden_shapes(spark):
+def test_golden_shapes(spark, tmp_path):
     raw = spark.createDataFrame([("Mill", 9, 90, "2025-01-01T00:00:00Z", GOLDEN)], "title string, page_id bigint, revision_id bigint, timestamp string, text string")
     blocks = written(layer1.parse_pages(raw), "test")
     page = layer1.typed_pages(blocks).first()
@@ -211,7 +215,41 @@ def test_golden_shapes(spark):
     assert (s["episode_series"], s["episode_season"], s["episode_number"], s["episode_title"], got["Hold on"]["speaker"]["played_by"], got["Hold on"]["speaker"]["link_title"]) == ("Mill", 2, "2.05", "Dusk", "Old Dan", "Bob")
     assert got["Grind on"]["kind"] == "tagline" and got["La la chanson"]["kind"] == "lyric" and got["La la chanson"]["language"] == "fr"
     assert [(t["text"], t["is_original"]) for t in got["La la chanson"]["translations"]] == [("a song", False)] and [(a["kind"], a["text"]) for a in got["La la chanson"]["annotations"]] == [("translation", "Translation: a song")]
+    # as a nested document and back
+    (line,) = documents.documents(blocks).collect()
+    d = json.loads(line["value"])
+    assert list(d) == ["wiki_language", "title", "page_id", "revision_id", "timestamp", "page_type", "page_type_evidence", "categories", "templates", "interwiki", "lead", "sections", "parse"]
+    assert [b["block"] for b in d["lead"]] == ["template", "template", "media", "paragraph", "quote"] and d["lead"][4]["annotations"][0]["kind"] == "citation"
+    dusk = d["sections"][0]["sections"][0]
+    assert (d["sections"][0]["role"], d["sections"][0]["source_hint"], dusk["role"], dusk["source_hint"]) == ({"role": "episodes"}, {"hint": "season", "number": 2}, {"role": "other", "value": "Dusk [2.05]"}, {"hint": "episode", "title": "Dusk", "code": "2.05"})
+    assert [b["block"] for b in dusk["blocks"]] == ["exchange", "rule", "exchange"] and "speaker" not in dusk["blocks"][0]["turns"][0] and "sections" not in dusk
+    assert d["sections"][3]["blocks"][0]["block"] == "item" and d["sections"][3]["blocks"][0]["spans"][0]["target"] == {"site": "wikiquote", "lang": "en", "title": "Other page"}
+    (tmp_path / "d.jsonl").write_text(line["value"] + "\n\n")
+    back = documents.read_documents(spark, str(tmp_path / "d.jsonl"))
+    shown = lambda df: sorted(repr(r.asDict(True)) for r in df.collect())
+    assert shown(back) == shown(blocks)
     # identifiers against another implementation of the hash
     jvm = spark.sparkContext._jvm.org.apache.commons.codec.digest.Blake3
     want = lambda t: bytes(jvm.hash(t.encode()))[:8].hex()
     assert got["I do"]["content_hash"] == want("i do") and got["I do"]["id"] == want("Mill\nSeason Two/Dusk [2.05]\n3") and got["Lead saying of Mill"]["id"] == want("Mill\n\n4")
+
+
+def test_documents_as_others_write_them(spark, tmp_path):
+    # fields left out, null or in another order; texts and sites of two shapes; null blocks keep their position; redirects have no blocks
+    lines = [
+        {"sections": [{"blocks": [None, {"text": {"text": "Said", "wikitext": "Said"}, "block": "quote", "annotations": None}], "heading": "Plain", "level": 2, "sections": None}], "title": "A", "page_id": 1, "revision_id": 2},
+        {"title": "B", "page_id": 3, "revision_id": 4, "redirect_to": {"site": {"other": "b"}, "lang": "en", "title": "A"}, "lead": [{"block": "rule"}]},
+        {"title": "C", "page_id": 5, "revision_id": 6, "lead": [{"block": "paragraph", "text": "x y", "wikitext": "x [[b:y|y]]", "spans": [{"span": "link", "end": 3, "start": 2, "target": {"site": {"other": "b"}, "lang": "en", "title": "y"}}]}]},
+    ]
+    (tmp_path / "d.jsonl").write_text("\n".join(json.dumps(x) for x in lines))
+    got = documents.read_documents(spark, str(tmp_path / "d.jsonl"))
+    assert [(r["title"], r["block_type"], r["section_ord"], r["block_index"], r["rt"] and r["rt"]["text"]) for r in got.orderBy("title", "section_ord", F.col("block_type") != "section").collect()] == [
+        ("A", "page", -1, -1, None), ("A", "section", 1, 0, None), ("A", "list_item", 1, 1, "Said"), ("B", "page", -1, -1, None), ("C", "page", -1, -1, None), ("C", "paragraph", 0, 0, "x y"),
+    ]
+    span = got.where("block_type = 'paragraph'").first()["rt"]["spans"][0]
+    assert (span["site"], span["shown"]) == ("b", "y") and got.where("block_type = 'section'").first()["path"][0]["text"] == "Plain"
+    (tmp_path / "bad.jsonl").write_text("{")
+    with pytest.raises(Exception):
+        documents.read_documents(spark, str(tmp_path / "bad.jsonl")).collect()
+    (tmp_path / "none.jsonl").write_text("")
+    assert documents.read_documents(spark, str(tmp_path / "none.jsonl")).count() == 0 and documents.documents(got.limit(0)).count() == 0
