@@ -72,13 +72,19 @@ def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFr
     return sets.select("tid", "set").mapInArrow(run, "tid bigint, size int, prefix array<bigint>, b1 bigint, b2 bigint")
 
 
-def _pairs(rows: DataFrame, key: str, ident: str, keep: Column, hot: DataFrame, block: int, also: list[str]) -> DataFrame:
+#: Rows of a side of the pair join that a task gets, about.
+_ROWS = 200_000
+
+
+def _pairs(rows: DataFrame, key: str, ident: str, keep: Column, hot: DataFrame, block: int, also: list[str], n: int = 0) -> DataFrame:
     """Pairs (a_..., b_... of ident and of the columns ``also``) of rows that share ``key``, with ``keep`` on the pair and
     a's ident below b's.
 
     ``hot`` (key, m), a written table, has at least all keys of more than ``block`` rows. Their rows are cut into blocks by a hash of ident, and
-    each pair of blocks is a join key of its own, so that no task gets a whole hot key.
+    each pair of blocks is a join key of its own, so that no task gets a whole hot key. ``n``, the number of rows, sets the
+    number of tasks, whatever the session's partitions for shuffles are.
     """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // _ROWS))
     rest = [c for c in rows.columns if c != key]
     out = [f"{s}_{c}" for s in "ab" for c in (ident, *also)]
 
@@ -87,6 +93,8 @@ def _pairs(rows: DataFrame, key: str, ident: str, keep: Column, hot: DataFrame,
         return df.select(F.col(key).alias("_key"), *at, *[F.col(c).alias(f"{name}_{c}") for c in rest])
 
     def join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        # the one shuffle that the join needs anyway
+        left, right = (x.repartition(tasks, *on) for x in (left, right))
         return left.join(right, on).where((F.col(f"a_{ident}") < F.col(f"b_{ident}")) & keep).select(*out)
 
     if not hot.take(1):
@@ -158,7 +166,7 @@ def similar(df: DataFrame, id_col: str, text_col: str, words: int, least_words:
         & F.coalesce(_close(sa, sb, _apart("a_", "b_"), num, den), F.lit(True))
     )
     hot = written(counts.where(F.col("n") > block).select("s", F.col("n").alias("m")), "hot")
-    pairs = _pairs(heads.select("s", "gid", "size", "pos", "b1", "b2"), "s", "gid", fits, hot, block, ["size", "b1", "b2"])
+    pairs = _pairs(heads.select("s", "gid", "size", "pos", "b1", "b2"), "s", "gid", fits, hot, block, ["size", "b1", "b2"], prefixed.agg(F.sum(F.size("prefix"))).first()[0] or 0)
     pairs = written(pairs.distinct(), "pairs")
     dropped(counts, hot)
     across = pairs
